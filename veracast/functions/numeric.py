@@ -28,6 +28,15 @@ def rounded(value: Column, digits: int) -> Column:
     return F.round(value.cast("decimal(38,12)"), digits).cast("double")
 
 
+def steady(value: Column) -> Column:
+    """The value without the last-bit noise of a parallel sum, for comparing and ordering.
+
+    Two algorithms with equal errors must tie on every run, and a KPI of exactly 30 must not
+    miss its limit because its terms were added in another order. Cheap: stays a double.
+    """
+    return F.rint(value * 1e9) / 1e9
+
+
 def between(value: Column, low: float, high: float) -> Column:
     """Clamp; a null value stays null (``greatest``/``least`` alone would skip it)."""
     return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veracast.functions.errors import product_errors, safe_tracking_signal
 from veracast.functions.months import Anchor, months_ago
-from veracast.functions.numeric import ratio
+from veracast.functions.numeric import ratio, steady
 from veracast.operators.horizons import assign_windows, window_filter
 
 GRAIN = ("product_id", "algo_name", "analytical_window_months")
@@ -111,15 +111,17 @@ def performance_all_windows(df: DataFrame, anchor: Anchor, longest: int = 24) ->
     )
     series = Window.partitionBy("product_id", "algo_name").orderBy("_age")
     so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = monthly.select(
-        "product_id",
-        "algo_name",
-        *[F.sum(name).over(so_far).alias(name) for name in terms],
-        F.explode(
-            F.sequence(
-                F.col("_age") + 1, F.coalesce(F.lead("_age").over(series), F.lit(longest))
-            )
-        ).alias("analytical_window_months"),
+    until = F.coalesce(F.lead("_age").over(series), F.lit(longest))
+    running = (
+        monthly.select(
+            "product_id",
+            "algo_name",
+            (F.col("_age") + 1).alias("_from"),
+            until.alias("_until"),
+            *[F.sum(name).over(so_far).alias(name) for name in terms],
+        )
+        .withColumn("analytical_window_months", F.explode(F.sequence("_from", "_until")))
+        .drop("_from", "_until")
     )
     mad = ratio(F.col("abs"), F.col("n_err"))
     return running.select(
@@ -145,7 +147,7 @@ def best_algorithm(perf: DataFrame, metric: str) -> DataFrame:
     rest = [c for c in perf.columns if c not in ("product_id", "analytical_window_months")]
     order = F.struct(
         F.col(metric).isNull().alias("_missing"),
-        F.col(metric).alias("_metric"),
+        steady(F.col(metric)).alias("_metric"),
         F.col("algo_name").alias("_tie"),
         *rest,
     )
@@ -180,6 +182,6 @@ def leaderboard(
         products.alias("count_products"),
     )
     order = Window.partitionBy("analytical_window_months", "segment_abcxyz").orderBy(
-        F.col("avg_mape").asc_nulls_last()
+        steady(F.col("avg_mape")).asc_nulls_last()
     )
     return board.withColumn("rank_mape", F.dense_rank().over(order))

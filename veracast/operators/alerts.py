@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracast.config import Settings
-from veracast.functions.numeric import rounded
+from veracast.functions.numeric import rounded, steady
 
 # The published wording of an alert (severity, algorithm, tracking signal).
 ALERT_TEXT = (
@@ -26,9 +26,9 @@ def drift_alerts(perf: DataFrame, settings: Settings = Settings()) -> DataFrame:
     months, so windows of 1 and 3 months can only alert through MAPE. Filter and projection,
     no shuffle.
     """
-    signal = F.abs("tracking_signal")
+    signal = steady(F.abs("tracking_signal"))
     limit = settings.tracking_signal_limit
-    raised = (signal >= limit) | (F.col("mape") >= settings.mape_red)
+    raised = (signal >= limit) | (steady(F.col("mape")) >= settings.mape_red)
     return perf.filter(raised).select(
         "product_id",
         "algo_name",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from veracast.config import Settings
 from veracast.functions.errors import signed_error_share
 from veracast.functions.forecasters import Forecaster
-from veracast.functions.numeric import rounded
+from veracast.functions.numeric import rounded, steady
 
 KEY = ["Material_ID", "Sales_Date"]
 
@@ -105,7 +105,7 @@ def evaluate_backtest(
             (F.abs(error) * F.col("Total_Lead_Time_Days")).alias(
                 f"Safety_Stock_Impact_Days_{name}"
             ),
-            F.when(error < settings.stockout_error, "HIGH")
+            F.when(steady(error) < settings.stockout_error, "HIGH")
             .otherwise("LOW")
             .alias(f"Stockout_Risk_Flag_{name}"),
         ]

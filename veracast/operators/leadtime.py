@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracast.config import Settings
-from veracast.functions.numeric import between, correlation, rounded
+from veracast.functions.numeric import between, correlation, rounded, steady
 from veracast.operators.accuracy import best_algorithm
 
 MIN_PRODUCTS = 3
@@ -24,6 +24,7 @@ def volatility(columns: list[str], settings: Settings = Settings()) -> tuple[str
 
 def risk_level(value: Column, settings: Settings = Settings()) -> Column:
     low, medium, high = settings.risk_cuts
+    value = steady(value)
     return (
         F.when(value < low, "LOW")
         .when(value < medium, "MEDIUM")

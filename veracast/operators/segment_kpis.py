@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from veracast.config import SEGMENT_PLANNER, Settings
 from veracast.functions.errors import safe_tracking_signal
 from veracast.functions.months import month_index
-from veracast.functions.numeric import ratio, rounded
+from veracast.functions.numeric import ratio, rounded, steady
 from veracast.operators.segmentation import mape_target
 
 SEGMENT = ["segment_abc", "segment_xyz", "segment_abcxyz", "horizon_mois"]
@@ -93,11 +93,11 @@ def _kpis(totals: DataFrame, settings: Settings) -> DataFrame:
         "mad",
         signed.alias("cumul_erreurs_signees"),
         rounded(signal, 4).alias("tracking_signal"),
-        F.coalesce(F.abs(signal) > settings.tracking_signal_limit, F.lit(False)).alias(
+        F.coalesce(steady(F.abs(signal)) > settings.tracking_signal_limit, F.lit(False)).alias(
             "flag_derive"
         ),
         target.alias("mape_cible"),
-        F.coalesce(F.col("mape") > target, F.lit(False)).alias("flag_mape_hors_cible"),
+        F.coalesce(steady(F.col("mape")) > target, F.lit(False)).alias("flag_mape_hors_cible"),
         "naive_ape_total",
         "naive_n",
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veracast.config import Settings
 from veracast.functions.months import Anchor, as_column
-from veracast.functions.numeric import ratio
+from veracast.functions.numeric import ratio, steady
 from veracast.sources.scratch import materialize
 
 
@@ -132,7 +132,9 @@ def xyz_segments(profile: DataFrame, settings: Settings = Settings()) -> DataFra
     )
     return profile.withColumn("cv", cv).withColumn(
         "segment_xyz",
-        F.when(F.col("cv") < x_cut, "X").when(F.col("cv") <= y_cut, "Y").otherwise("Z"),
+        F.when(steady(F.col("cv")) < x_cut, "X")
+        .when(steady(F.col("cv")) <= y_cut, "Y")
+        .otherwise("Z"),
     )
 
 

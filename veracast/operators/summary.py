@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracast.config import Settings
-from veracast.functions.numeric import rounded
+from veracast.functions.numeric import rounded, steady
 from veracast.schemas import GOLD_TABLES
 
 REPORT_TYPES = ("monthly_1page", "monthly_detailed")
@@ -30,7 +30,7 @@ def worst_by(perf: DataFrame, column: str, k: int) -> DataFrame:
     lengths do not turn into a few giant sort tasks.
     """
     order = Window.partitionBy("analytical_window_months").orderBy(
-        F.col("mean_mape").desc(), F.col(column)
+        steady(F.col("mean_mape")).desc(), F.col(column)
     )
     return (
         perf.groupBy("analytical_window_months", column)

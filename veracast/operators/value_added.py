@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracast.config import NAIVE_LABELS, PLANNER_LABELS
-from veracast.functions.numeric import rounded
+from veracast.functions.numeric import rounded, steady
 
 
 def forecast_value_added(perf: DataFrame) -> DataFrame:
@@ -21,7 +21,11 @@ def forecast_value_added(perf: DataFrame) -> DataFrame:
     model = ~(naive | planner)
     wape = F.col("wape")
     candidate = F.struct(
-        wape.isNull().alias("missing"), wape.alias("wape"), F.col("algo_name"), F.col("n_obs")
+        wape.isNull().alias("missing"),
+        steady(wape).alias("order"),
+        F.col("algo_name"),
+        wape.alias("wape"),
+        F.col("n_obs"),
     )
     value = F.col("fva_value")
     return (

@@ -98,7 +98,7 @@ _GOLD = f"""
 perf AS ({_perf("exec_windows")}),
 best_mape AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, analytical_window_months
-    ORDER BY mape ASC NULLS LAST, algo_name) AS rn FROM perf) WHERE rn = 1),
+    ORDER BY {_r("mape", 9)} ASC NULLS LAST, algo_name) AS rn FROM perf) WHERE rn = 1),
 master AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id,
          CASE WHEN p_size <= 40 THEN p_size + 15 END AS days FROM part),
@@ -109,8 +109,8 @@ impact0 AS (
          LEAST(1.0, GREATEST(0.0, COALESCE(b.wape / 100, 0))) AS vol
   FROM best_mape b LEFT JOIN master t ON t.product_id = b.product_id),
 impact AS (
-  SELECT *, CASE WHEN vol < 0.15 THEN 'LOW' WHEN vol < 0.25 THEN 'MEDIUM'
-                 WHEN vol < 0.35 THEN 'HIGH' ELSE 'CRITICAL' END AS risk_severity FROM impact0),
+  SELECT *, CASE WHEN {_r("vol", 9)} < 0.15 THEN 'LOW' WHEN {_r("vol", 9)} < 0.25 THEN 'MEDIUM'
+                 WHEN {_r("vol", 9)} < 0.35 THEN 'HIGH' ELSE 'CRITICAL' END AS risk_severity FROM impact0),
 fva AS (
   SELECT *, CASE WHEN fva_value > 0 THEN 'Positive' WHEN fva_value = 0 THEN 'Neutral'
                  WHEN fva_value < 0 THEN 'Negative' ELSE 'Unknown' END AS fva_flag
@@ -120,7 +120,7 @@ fva AS (
            {_r("b.wape - p.wape", 4)} AS fva_value, b.n_obs
     FROM (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (
             PARTITION BY product_id, analytical_window_months
-            ORDER BY wape ASC NULLS LAST, algo_name) AS rn
+            ORDER BY {_r("wape", 9)} ASC NULLS LAST, algo_name) AS rn
             FROM perf WHERE algo_name NOT IN ('naive', 'Expert_DP')) WHERE rn = 1) b
     LEFT JOIN perf n ON n.product_id = b.product_id AND n.algo_name = 'naive'
          AND n.analytical_window_months = b.analytical_window_months
@@ -128,8 +128,8 @@ fva AS (
          AND p.analytical_window_months = b.analytical_window_months)),
 alerts AS (
   SELECT product_id, algo_name, analytical_window_months, tracking_signal, TRUE AS alert_flag,
-         CASE WHEN ABS(tracking_signal) >= 9 THEN 'CRITICAL' ELSE 'HIGH' END AS severity
-  FROM perf WHERE ABS(tracking_signal) >= 6 OR mape >= 30)"""
+         CASE WHEN {_r("ABS(tracking_signal)", 9)} >= 9 THEN 'CRITICAL' ELSE 'HIGH' END AS severity
+  FROM perf WHERE {_r("ABS(tracking_signal)", 9)} >= 6 OR {_r("mape", 9)} >= 30)"""
 
 _SILVER = f"""
 raw_act AS (
@@ -185,7 +185,7 @@ seg AS (
   FROM (
     SELECT *, CASE WHEN ca_cumul * 100 <= ca_total * 80 THEN 'A'
                    WHEN ca_cumul * 100 <= ca_total * 95 THEN 'B' ELSE 'C' END AS segment_abc,
-           CASE WHEN cv < 0.5 THEN 'X' WHEN cv <= 1 THEN 'Y' ELSE 'Z' END AS segment_xyz
+           CASE WHEN {_r("cv", 9)} < 0.5 THEN 'X' WHEN {_r("cv", 9)} <= 1 THEN 'Y' ELSE 'Z' END AS segment_xyz
     FROM (SELECT *, CASE WHEN moyenne_ventes > 0 THEN ecart_type_ventes / moyenne_ventes
                          ELSE 99.0 END AS cv FROM abc0))),
 silver AS (
@@ -237,9 +237,9 @@ gs AS (
          {_r("mad", 4)} AS mae, {_r("rmse", 4)} AS rmse, {_r("biais", 4)} AS biais,
          {_r("biais_pct", 4)} AS biais_pct, {_r("theil_u", 4)} AS theil_u, nb_observations,
          volume_moyen_actuals, volatilite_actuals, mad, cumul_erreurs_signees,
-         {_r("ts", 4)} AS tracking_signal, ABS(ts) > 6 AS flag_derive,
+         {_r("ts", 4)} AS tracking_signal, {_r("ABS(ts)", 9)} > 6 AS flag_derive,
          CASE segment_abc WHEN 'A' THEN 10.0 WHEN 'B' THEN 20.0 ELSE 40.0 END AS mape_cible,
-         mape > (CASE segment_abc WHEN 'A' THEN 10.0 WHEN 'B' THEN 20.0 ELSE 40.0 END)
+         {_r("mape", 9)} > (CASE segment_abc WHEN 'A' THEN 10.0 WHEN 'B' THEN 20.0 ELSE 40.0 END)
            AS flag_mape_hors_cible
   FROM gs0),
 gs_naive AS (
@@ -320,8 +320,8 @@ bt0 AS (
   LEFT JOIN part t ON CAST(t.p_partkey AS VARCHAR) = h.Material_ID),
 bt AS (
   SELECT *, Mfg_LeadTime_Days + Proc_LeadTime_Days AS total_days,
-         CASE WHEN ep < -0.20 THEN 'HIGH' ELSE 'LOW' END AS flag_p,
-         CASE WHEN em < -0.20 THEN 'HIGH' ELSE 'LOW' END AS flag_m FROM bt0)"""
+         CASE WHEN {_r("ep", 9)} < -0.20 THEN 'HIGH' ELSE 'LOW' END AS flag_p,
+         CASE WHEN {_r("em", 9)} < -0.20 THEN 'HIGH' ELSE 'LOW' END AS flag_m FROM bt0)"""
 
 _PERF_COLUMNS = f"""product_id, algo_name, analytical_window_months,
   {_rows("mape", "wape", "rmse", "mae", "smape", "bias", "tracking_signal")}, theils_u, n_obs"""
@@ -348,7 +348,7 @@ def _worst(column: str, k: int) -> str:
     return f"""
   SELECT analytical_window_months, {column}, mean_mape, position FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY analytical_window_months
-        ORDER BY mean_mape DESC, {column}) AS position
+        ORDER BY {_r("mean_mape", 9)} DESC, {column}) AS position
     FROM (SELECT analytical_window_months, {column}, AVG(mape) AS mean_mape
           FROM perf GROUP BY 1, 2) WHERE mean_mape IS NOT NULL) WHERE position <= {k}"""
 
@@ -358,7 +358,7 @@ def _leaderboard(segment: str, source: str) -> str:
   SELECT analytical_window_months, segment_abcxyz, algo_name,
          {_rows("avg_mape", "avg_wape", "avg_rmse", "avg_bias")}, count_products,
          CAST(DENSE_RANK() OVER (PARTITION BY analytical_window_months, segment_abcxyz
-              ORDER BY avg_mape ASC NULLS LAST) AS INTEGER) AS rank_mape
+              ORDER BY {_r("avg_mape", 9)} ASC NULLS LAST) AS INTEGER) AS rank_mape
   FROM (SELECT p.analytical_window_months, {segment} AS segment_abcxyz, p.algo_name,
                AVG(p.mape) AS avg_mape, AVG(p.wape) AS avg_wape, AVG(p.rmse) AS avg_rmse,
                AVG(p.bias) AS avg_bias, COUNT(DISTINCT p.product_id) AS count_products
@@ -448,7 +448,7 @@ def _selects() -> dict[str, str]:
         "best_algo_wape": f"""
   SELECT {_PERF_COLUMNS} FROM (SELECT *, ROW_NUMBER() OVER (
       PARTITION BY product_id, analytical_window_months
-      ORDER BY wape ASC NULLS LAST, algo_name) AS rn FROM perf) WHERE rn = 1""",
+      ORDER BY {_r("wape", 9)} ASC NULLS LAST, algo_name) AS rn FROM perf) WHERE rn = 1""",
         "best_algo_mape": f"SELECT {_PERF_COLUMNS} FROM best_mape",
         "best_mape_top5": """
   SELECT algorithme, segment_abcxyz, mape FROM gs

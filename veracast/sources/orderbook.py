@@ -9,111 +9,107 @@ own flags. Every feed reads the whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracast.operators.silver import RawTables
 
-# Labels of the derived forecasts; no such model is fitted.
-MODEL_IDS = {"Prophet": 1, "ARIMAX": 2, "ETS": 3, "Expert_DP": 4}
+# Labels of the derived forecasts by model number; no such model is fitted.
+MODELS = ("Prophet", "ARIMAX", "ETS", "Expert_DP")
+PLANNER = MODELS.index("Expert_DP") + 1
 UNKNOWN_ALGORITHM = "Unknown_Model"
-FUTURE_MONTHS = (1, 2, 3)
+
+SKU = "cast(k as string) AS sku_id"
+# The three spellings a raw month arrives in.
+MONTH_TEXT = """CASE WHEN n_returned > 0 THEN date_format(m, 'MM/yyyy')
+    WHEN billed > 0 THEN date_format(m, 'yyyy-MM') ELSE date_format(m, 'yyyy-MM-dd') END
+    AS periode"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship_month() -> Column:
-    return F.trunc(F.col("l_shipdate").cast("date"), "month")
-
-
 def last_month(spark: SparkSession, sf_dir: str) -> Column:
     """The newest shipping month as a scalar subquery over one column of the lines."""
     lines = table(spark, sf_dir, "lineitem")
-    return F.trunc(lines.agg(F.max(F.col("l_shipdate").cast("date"))).scalar(), "month")
+    return lines.agg(F.expr("trunc(cast(max(l_shipdate) as date), 'month')")).scalar()
 
 
 def monthly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part and month; partial sums fold a hot part before the shuffle."""
-    quantity = F.col("l_quantity").cast("long")
-    returned, billed = F.col("l_returnflag") == "R", F.col("l_linestatus") == "F"
-    kept = ~(returned & ~billed)
-    revenue = F.col("l_extendedprice").cast("decimal(12,2)") * (
-        F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)")
-    )
+    cancelled = "l_returnflag = 'R' AND l_linestatus <> 'F'"
+    revenue = (
+        "cast(l_extendedprice as decimal(12,2))"
+        " * (cast(1 as decimal(3,2)) - cast(l_discount as decimal(3,2)))"
+    )
+    totals = {
+        "gross": "sum(cast(l_quantity as bigint))",
+        "qty": f"sum(CASE WHEN {cancelled} THEN 0 ELSE cast(l_quantity as bigint) END)",
+        "value": f"cast(sum(CASE WHEN {cancelled} THEN 0 ELSE {revenue} END) as decimal(18,4))",
+        "billed": "sum(CASE WHEN l_linestatus = 'F' THEN cast(l_quantity as bigint) ELSE 0 END)",
+        "n_returned": "count_if(l_returnflag = 'R')",
+        "n_reviewed": "count_if(l_returnflag <> 'N')",
+    }
+    month = F.expr("trunc(cast(l_shipdate as date), 'month')")
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_partkey").alias("k"), ship_month().alias("m"))
-        .agg(
-            F.sum(quantity).alias("gross"),
-            F.sum(F.when(kept, quantity).otherwise(0)).alias("qty"),
-            F.sum(F.when(kept, revenue).otherwise(0)).cast("decimal(18,4)").alias("value"),
-            F.sum(F.when(billed, quantity).otherwise(0)).alias("billed"),
-            F.count_if(returned).alias("n_returned"),
-            F.count_if(F.col("l_returnflag") != "N").alias("n_reviewed"),
-        )
-        .withColumn("mi", F.year("m") * 12 + F.month("m"))
+        .groupBy(F.col("l_partkey").alias("k"), month.alias("m"))
+        .agg(*[F.expr(total).alias(name) for name, total in totals.items()])
+        .withColumn("mi", F.expr("year(m) * 12 + month(m)"))
     )
 
 
-def _forecast(model: int) -> Column:
+def _forecast(model: str) -> str:
     """Demand times a per-mille factor, rounded half up, never negative; all in integers."""
-    k, mi = F.col("k"), F.col("mi")
-    wild = F.when(k % 7 == 0, 3).otherwise(1)
-    noise = (k % 4 + 1) * 5 * (1 + (k + model) % 3) * wild * ((k * 31 + mi * 17 + model * 13) % 21 - 10)
-    bias = ((k + 2 * model) % 5 - 2) * 60 * wild
-    base = F.when(F.col("qty") > 0, F.col("qty")).otherwise(F.col("gross"))
-    bent = F.floor((base * (noise + bias + 1000) + 500) / 1000).cast("long")
-    silent = (F.col("qty") == 0) & (mi % 2 == 0)
-    return F.when(silent, 0).otherwise(F.greatest(F.lit(0), bent)).cast("double")
-
+    wild = "(CASE WHEN k % 7 = 0 THEN 3 ELSE 1 END)"
+    noise = (
+        f"(k % 4 + 1) * 5 * (1 + (k + {model}) % 3) * {wild}"
+        f" * ((k * 31 + mi * 17 + {model} * 13) % 21 - 10)"
+    )
+    bias = f"((k + {model} * 2) % 5 - 2) * 60 * {wild}"
+    base = "(CASE WHEN qty > 0 THEN qty ELSE gross END)"
+    return (
+        "cast(CASE WHEN qty = 0 AND mi % 2 = 0 THEN 0 ELSE "
+        f"greatest(0, ({base} * (1000 + {noise} + {bias}) + 500) div 1000) END as double)"
+    )
 
-def _entries(extra: list[Column]) -> Column:
-    entries = []
-    for name, model in MODEL_IDS.items():
-        value = _forecast(model)
-        if name == "Expert_DP":
-            # The planner reviews a month only when some line was accepted or returned.
-            value = F.when(F.col("n_reviewed") > 0, value)
-        entries.append(_entry(name, value))
-    return F.filter(F.array(*entries, *extra), lambda e: e["forecast_qty"].isNotNull())
 
+def _per_algorithm(demand: DataFrame, extra_name: str, extra: str) -> DataFrame:
+    """One row per month and derived algorithm, plus ``extra_name`` where it has a value.
 
-def _entry(name: str, value: Column) -> Column:
-    return F.struct(F.lit(name).alias("algo_name"), value.alias("forecast_qty"))
+    The planner reviews a month only when some line was accepted or returned.
+    """
+    last = len(MODELS) + 1
+    numbers = ", ".join(str(n) for n in range(1, last + 1))
+    names = ", ".join(f"'{name}'" for name in (*MODELS, extra_name))
+    return (
+        demand.withColumn("extra", F.expr(extra))
+        .withColumn("model", F.expr(f"explode(array({numbers}))"))
+        .filter(f"(model <> {PLANNER} OR n_reviewed > 0) AND (model < {last} OR extra IS NOT NULL)")
+        .withColumns(
+            {
+                "algo_name": F.expr(f"element_at(array({names}), model)"),
+                "forecast_qty": F.expr(
+                    f"CASE WHEN model < {last} THEN {_forecast('model')}"
+                    " ELSE cast(extra as double) END"
+                ),
+            }
+        )
+    )
 
 
 def monthly_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_demand(spark, sf_dir).select(
-        F.col("k").cast("string").alias("sku_id"),
-        F.col("m").alias("date_month"),
-        F.col("qty").cast("double").alias("actual_qty"),
+    return monthly_demand(spark, sf_dir).selectExpr(
+        SKU, "m AS date_month", "cast(qty as double) AS actual_qty"
     )
 
 
 def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised input of the product-grain audit, with the naive forecast as an algorithm."""
-    history = Window.partitionBy("k").orderBy("m")
-    previous = F.lag("qty").over(history).cast("double")
-    return (
-        monthly_demand(spark, sf_dir)
-        .withColumn("previous", previous)
-        .select(
-            F.col("k").cast("string").alias("sku_id"),
-            F.col("m").alias("date_month"),
-            F.col("qty").cast("double").alias("actual_qty"),
-            F.inline(_entries([_entry("naive", F.col("previous"))])),
-        )
-    )
-
-
-def _month_text(month: Column) -> Column:
-    """The three spellings a raw month arrives in."""
-    return (
-        F.when(F.col("n_returned") > 0, F.date_format(month, "MM/yyyy"))
-        .when(F.col("billed") > 0, F.date_format(month, "yyyy-MM"))
-        .otherwise(F.date_format(month, "yyyy-MM-dd"))
+    previous = "lag(qty) OVER (PARTITION BY k ORDER BY m)"
+    return _per_algorithm(monthly_demand(spark, sf_dir), "naive", previous).selectExpr(
+        SKU, "m AS date_month", "cast(qty as double) AS actual_qty", "algo_name", "forecast_qty"
     )
 
 
@@ -122,87 +118,63 @@ def raw_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A month without sales arrives with a missing quantity.
     """
-    deliveries = F.array(
-        F.struct(
-            F.expr("nullif(qty, 0)").cast("double").alias("ventes_reelles_qty"),
-            F.col("value").alias("ventes_reelles_valeur"),
-        ),
-        F.struct(
-            F.when(F.col("n_returned") > 0, F.col("gross")).cast("double").alias(
-                "ventes_reelles_qty"
-            ),
-            F.col("value").alias("ventes_reelles_valeur"),
-        ),
-    )
-    second = F.col("n_returned") > 0
-    return monthly_demand(spark, sf_dir).select(
-        F.col("k").cast("string").alias("sku_id"),
-        _month_text(F.col("m")).alias("periode"),
-        F.inline(F.when(second, deliveries).otherwise(F.slice(deliveries, 1, 1))),
+    return (
+        monthly_demand(spark, sf_dir)
+        .withColumn("delivery", F.expr("explode(sequence(1, if(n_returned > 0, 2, 1)))"))
+        .selectExpr(
+            SKU,
+            MONTH_TEXT,
+            "cast(if(delivery = 1, nullif(qty, 0), gross) as double) AS ventes_reelles_qty",
+            "value AS ventes_reelles_valeur",
+        )
     )
 
 
 def raw_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four algorithms, one unknown label, and three future months without actuals."""
     demand = monthly_demand(spark, sf_dir)
-    unknown = _entry(
-        UNKNOWN_ALGORITHM, F.when(F.col("n_returned") > 0, F.col("gross").cast("double"))
-    )
-    past = demand.select("k", _month_text(F.col("m")).alias("periode"), F.inline(_entries([unknown])))
-    ahead = F.explode(F.array(*[F.lit(n) for n in FUTURE_MONTHS]))
+    columns = ["algo_name AS algorithme", "forecast_qty"]
+    past = _per_algorithm(demand, UNKNOWN_ALGORITHM, "CASE WHEN n_returned > 0 THEN gross END")
     future = (
         demand.filter(F.col("m") == last_month(spark, sf_dir))
-        .withColumn("ahead", ahead)
-        .select(
+        .withColumn("ahead", F.expr("explode(array(1, 2, 3))"))
+        .selectExpr(
             "k",
-            F.date_format(F.add_months(F.col("m"), F.col("ahead")), "yyyy-MM").alias("periode"),
-            F.lit("ETS").alias("algo_name"),
-            F.col("qty").cast("double").alias("forecast_qty"),
+            "date_format(add_months(m, ahead), 'yyyy-MM') AS periode",
+            "'ETS' AS algorithme",
+            "cast(qty as double) AS forecast_qty",
         )
     )
-    parts = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("k"), F.col("p_type").alias("dci"), F.col("p_brand").alias("atc4")
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS k", "p_type AS dci", "p_brand AS atc4"
     )
     return (
-        past.unionByName(future)
+        past.selectExpr("k", MONTH_TEXT, *columns)
+        .unionByName(future)
         .join(parts, "k", "left")
-        .select(
-            F.col("k").cast("string").alias("sku_id"),
-            "periode",
-            F.col("algo_name").alias("algorithme"),
-            "forecast_qty",
-            "dci",
-            "atc4",
-        )
+        .selectExpr(SKU, "periode", "algorithme", "forecast_qty", "dci", "atc4")
     )
 
 
-def _stages() -> list[Column]:
-    k, mi = F.col("k"), F.col("mi")
-    return [
-        (F.lit(15) + k % 60).alias("lt_besoins_jours"),
-        (F.lit(5) + F.col("gross") % 15).alias("lt_fabrication_jours"),
-        F.when(F.col("n_reviewed") > 0, F.lit(7) + (k + mi) % 7).alias("lt_liberation_jours"),
-        (F.lit(1) + k % 5).alias("lt_diffusion_jours"),
-    ]
-
-
 def raw_lead_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four stages per part and month; release days are unknown for unreviewed months."""
-    return monthly_demand(spark, sf_dir).select(
-        F.col("k").cast("string").alias("sku_id"),
-        _month_text(F.col("m")).alias("periode"),
-        *_stages(),
+    return monthly_demand(spark, sf_dir).selectExpr(
+        SKU,
+        MONTH_TEXT,
+        "15 + k % 60 AS lt_besoins_jours",
+        "5 + gross % 15 AS lt_fabrication_jours",
+        "CASE WHEN n_reviewed > 0 THEN 7 + (k + mi) % 7 END AS lt_liberation_jours",
+        "1 + k % 5 AS lt_diffusion_jours",
     )
 
 
 def raw_supply_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_demand(spark, sf_dir).select(
-        F.col("k").cast("string").alias("sku_id"),
-        _month_text(F.col("m")).alias("periode"),
-        F.col("n_returned").alias("nb_ruptures"),
-        F.col("gross").cast("double").alias("qty_commandee"),
-        F.col("billed").cast("double").alias("qty_facturee"),
+    return monthly_demand(spark, sf_dir).selectExpr(
+        SKU,
+        MONTH_TEXT,
+        "n_returned AS nb_ruptures",
+        "cast(gross as double) AS qty_commandee",
+        "cast(billed as double) AS qty_facturee",
     )
 
 
@@ -217,36 +189,40 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
 
 def master_lead_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lead time per product; parts above size 40 have none on file."""
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.when(F.col("p_size") <= 40, F.col("p_size") + 15).cast("int").alias("lead_time_days"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "cast(p_partkey as string) AS product_id",
+        "cast(CASE WHEN p_size <= 40 THEN p_size + 15 END as int) AS lead_time_days",
     )
 
 
 def backtest_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_actuals(spark, sf_dir).select(
-        F.col("sku_id").alias("Material_ID"),
-        F.col("date_month").alias("Sales_Date"),
-        F.col("actual_qty").alias("Quantity_Sold"),
+    return monthly_demand(spark, sf_dir).selectExpr(
+        "cast(k as string) AS Material_ID",
+        "m AS Sales_Date",
+        "cast(qty as double) AS Quantity_Sold",
     )
 
 
 def backtest_planner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """System and planner forecasts with their change log, for reviewed months."""
-    return monthly_demand(spark, sf_dir).filter(F.col("n_reviewed") > 0).select(
-        F.col("k").cast("string").alias("Material_ID"),
-        F.col("m").alias("Sales_Date"),
-        _forecast(MODEL_IDS["Prophet"]).alias("System_Forecast_Qty"),
-        _forecast(MODEL_IDS["Expert_DP"]).alias("Planner_Forecast_Qty"),
-        F.lit("planner").alias("Modified_By_User_ID"),
-        F.col("m").cast("timestamp").alias("Modification_Timestamp"),
-        F.when(F.col("n_returned") > 0, "returns").otherwise("review").alias("Reason_Code"),
+    return (
+        monthly_demand(spark, sf_dir)
+        .filter("n_reviewed > 0")
+        .selectExpr(
+            "cast(k as string) AS Material_ID",
+            "m AS Sales_Date",
+            f"{_forecast('1')} AS System_Forecast_Qty",
+            f"{_forecast(str(PLANNER))} AS Planner_Forecast_Qty",
+            "'planner' AS Modified_By_User_ID",
+            "cast(m as timestamp) AS Modification_Timestamp",
+            "if(n_returned > 0, 'returns', 'review') AS Reason_Code",
+        )
     )
 
 
 def backtest_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("Material_ID"),
-        (F.lit(5) + F.col("p_size") % 15).cast("long").alias("Mfg_LeadTime_Days"),
-        (F.lit(15) + F.col("p_partkey") % 60).cast("long").alias("Proc_LeadTime_Days"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "cast(p_partkey as string) AS Material_ID",
+        "cast(5 + p_size % 15 as bigint) AS Mfg_LeadTime_Days",
+        "cast(15 + p_partkey % 60 as bigint) AS Proc_LeadTime_Days",
     )
