@@ -97,7 +97,9 @@ def build_silver(
     segmentation job.
     """
     actuals = clean_actuals(raw.actuals)
-    segments = abcxyz_segments(sales_profile(actuals, settings), settings).select(
+    # The newest month is the same before and after one row per key is kept, and cheaper.
+    newest = align_month(raw.actuals).agg(F.max("periode")).scalar()
+    segments = abcxyz_segments(sales_profile(actuals, settings, newest), settings).select(
         "sku_id", "segment_abc", "segment_xyz", "segment_abcxyz", "mape_cible_pct", "cv",
         "ca_total_12m",
     )

@@ -21,7 +21,7 @@ from veracast.operators import accuracy, alerts, backtest, baselines, clean, hor
 from veracast.operators import leadtime, segment_kpis, segmentation, silver, summary, value_added
 from veracast.schemas import RAW_ACTUALS
 from veracast.sources import lake, orderbook
-from veracast.sources.scratch import fresh_path
+from veracast.sources.scratch import fresh_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,8 @@ SETTINGS = Settings()
 # The processing time is an input of the Silver build; a constant keeps the result repeatable.
 PROCESSED_AT = dt.datetime(2002, 1, 31, 8, 30)
 QUERIES: dict[str, Query] = {}
+# The operators as a user calls them, before their results are prepared for comparison.
+BUILDS: dict[str, Query] = {}
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -48,34 +50,50 @@ def query(build: Query) -> Query:
 
     run.__name__, run.__doc__ = build.__name__, build.__doc__
     QUERIES[build.__name__] = run
+    BUILDS[build.__name__] = build
     return run
 
 
 # -- shared inputs -----------------------------------------------------------------------
 
 
+def _raw_actuals(spark, sf_dir):
+    return orderbook.raw_actuals(orderbook.monthly_demand(spark, sf_dir))
+
+
+def _raw_forecasts(spark, sf_dir):
+    return orderbook.raw_forecasts(orderbook.monthly_demand(spark, sf_dir), spark, sf_dir)
+
+
+def _raw_lead_times(spark, sf_dir):
+    return orderbook.raw_lead_times(orderbook.monthly_demand(spark, sf_dir))
+
+
 def _performance(spark, sf_dir):
     rows = orderbook.audit_rows(spark, sf_dir)
     return accuracy.performance(rows, orderbook.last_month(spark, sf_dir), WINDOWS_EXEC)
 
 
-def _segments(spark, sf_dir):
-    actuals = silver.clean_actuals(orderbook.raw_actuals(spark, sf_dir))
-    profile = segmentation.sales_profile(actuals, SETTINGS, orderbook.last_month(spark, sf_dir))
-    return segmentation.abcxyz_segments(profile, SETTINGS)
-
-
 def _profile(spark, sf_dir):
-    actuals = silver.clean_actuals(orderbook.raw_actuals(spark, sf_dir))
+    actuals = silver.clean_actuals(_raw_actuals(spark, sf_dir))
     return segmentation.sales_profile(actuals, SETTINGS, orderbook.last_month(spark, sf_dir))
 
 
+def _segments(spark, sf_dir):
+    return segmentation.abcxyz_segments(_profile(spark, sf_dir), SETTINGS)
+
+
 def _silver(spark, sf_dir):
     return silver.build_silver(
         orderbook.raw_tables(spark, sf_dir), PROCESSED_AT, "order lines", SETTINGS
     )
 
 
+def _staged_silver(spark, sf_dir):
+    """For queries that read Silver more than once."""
+    return stage(_silver(spark, sf_dir), "silver")
+
+
 def _impact(spark, sf_dir):
     return leadtime.leadtime_impact(
         _performance(spark, sf_dir), orderbook.master_lead_time(spark, sf_dir), SETTINGS
@@ -107,7 +125,7 @@ def _evaluation(spark, sf_dir):
 
 @query
 def align_month(spark, sf_dir):
-    return clean.align_month(orderbook.raw_actuals(spark, sf_dir))
+    return clean.align_month(_raw_actuals(spark, sf_dir))
 
 
 @query
@@ -130,26 +148,26 @@ def input_profile(spark, sf_dir):
 @query
 def algo_whitelist(spark, sf_dir):
     return clean.known_algorithms(
-        orderbook.raw_forecasts(spark, sf_dir), SETTINGS.valid_algorithms
+        _raw_forecasts(spark, sf_dir), SETTINGS.valid_algorithms
     )
 
 
 @query
 def algo_census(spark, sf_dir):
     return clean.algorithm_census(
-        orderbook.raw_forecasts(spark, sf_dir), SETTINGS.valid_algorithms
+        _raw_forecasts(spark, sf_dir), SETTINGS.valid_algorithms
     )
 
 
 @query
 def dedup_key(spark, sf_dir):
-    aligned = clean.align_month(orderbook.raw_actuals(spark, sf_dir))
+    aligned = clean.align_month(_raw_actuals(spark, sf_dir))
     return clean.one_row_per_key(aligned, ["sku_id", "periode"])
 
 
 @query
 def fill_defaults(spark, sf_dir):
-    raw = orderbook.raw_lead_times(spark, sf_dir)
+    raw = _raw_lead_times(spark, sf_dir)
     return clean.fill_defaults(raw, dict.fromkeys(silver.STAGES, 0))
 
 
@@ -353,7 +371,7 @@ def segment_distribution(spark, sf_dir):
 
 @query
 def lead_time_total(spark, sf_dir):
-    return silver.clean_lead_times(orderbook.raw_lead_times(spark, sf_dir))
+    return silver.clean_lead_times(_raw_lead_times(spark, sf_dir))
 
 
 @query
@@ -430,7 +448,7 @@ def risk_top100(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     """Raw actuals written as CSV by all tasks and read back with a declared schema."""
     path = fresh_path(spark, "csv-roundtrip")
-    lake.write_csv(orderbook.raw_actuals(spark, sf_dir), path)
+    lake.write_csv(_raw_actuals(spark, sf_dir), path)
     return lake.read_csv(spark, path, RAW_ACTUALS)
 
 
@@ -496,7 +514,7 @@ def m_leadtime(spark, sf_dir):
 
 @query
 def m_mape_by_leadtime(spark, sf_dir):
-    rows = _silver(spark, sf_dir)
+    rows = _staged_silver(spark, sf_dir)
     perf = segment_kpis.segment_performance(rows, SETTINGS)
     return measures.mape_by_lead_time(perf, rows, ["algorithme"], SETTINGS)
 
@@ -508,7 +526,7 @@ def m_rupture(spark, sf_dir):
 
 @query
 def m_mape_by_rupture(spark, sf_dir):
-    rows = _silver(spark, sf_dir)
+    rows = _staged_silver(spark, sf_dir)
     perf = segment_kpis.segment_performance(rows, SETTINGS)
     return measures.mape_by_rupture(perf, rows, ["algorithme"])
 
@@ -521,7 +539,7 @@ def m_alerts(spark, sf_dir):
 
 @query
 def m_monitoring(spark, sf_dir):
-    rows = _silver(spark, sf_dir)
+    rows = _staged_silver(spark, sf_dir)
     return measures.monitoring(rows, segment_kpis.segment_performance(rows, SETTINGS))
 
 
@@ -537,6 +555,6 @@ def m_benchmark(spark, sf_dir):
 
 @query
 def m_exec_summary(spark, sf_dir):
-    rows = _silver(spark, sf_dir)
+    rows = _staged_silver(spark, sf_dir)
     perf = segment_kpis.segment_performance(rows, SETTINGS)
     return measures.executive_summary(rows, perf, segment_kpis.segment_alerts(perf, SETTINGS))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracast.operators.silver import RawTables
+from veracast.sources.scratch import stage
 
 # Labels of the derived forecasts by model number; no such model is fitted.
 MODELS = ("Prophet", "ARIMAX", "ETS", "Expert_DP")
@@ -39,14 +40,17 @@ def last_month(spark: SparkSession, sf_dir: str) -> Column:
 def monthly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part and month; partial sums fold a hot part before the shuffle."""
     cancelled = "l_returnflag = 'R' AND l_linestatus <> 'F'"
+    # Price and discount have two decimals: whole 1/10000 units add up exactly, and a long
+    # buffer aggregates about twice as fast as a wide decimal.
     revenue = (
-        "cast(l_extendedprice as decimal(12,2))"
-        " * (cast(1 as decimal(3,2)) - cast(l_discount as decimal(3,2)))"
+        "cast(round(l_extendedprice * 100) as bigint)"
+        " * (100 - cast(round(l_discount * 100) as bigint))"
     )
     totals = {
         "gross": "sum(cast(l_quantity as bigint))",
         "qty": f"sum(CASE WHEN {cancelled} THEN 0 ELSE cast(l_quantity as bigint) END)",
-        "value": f"cast(sum(CASE WHEN {cancelled} THEN 0 ELSE {revenue} END) as decimal(18,4))",
+        "value": f"cast(sum(CASE WHEN {cancelled} THEN 0 ELSE {revenue} END) as decimal(18,0))"
+        " * cast(0.0001 as decimal(4,4))",
         "billed": "sum(CASE WHEN l_linestatus = 'F' THEN cast(l_quantity as bigint) ELSE 0 END)",
         "n_returned": "count_if(l_returnflag = 'R')",
         "n_reviewed": "count_if(l_returnflag <> 'N')",
@@ -56,7 +60,12 @@ def monthly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_partkey").alias("k"), month.alias("m"))
         .agg(*[F.expr(total).alias(name) for name, total in totals.items()])
-        .withColumn("mi", F.expr("year(m) * 12 + month(m)"))
+        .withColumns(
+            {
+                "value": F.col("value").cast("decimal(18,4)"),
+                "mi": F.expr("year(m) * 12 + month(m)"),
+            }
+        )
     )
 
 
@@ -113,13 +122,13 @@ def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_actuals(demand: DataFrame) -> DataFrame:
     """Months with returns are delivered twice, the second time with gross quantity.
 
     A month without sales arrives with a missing quantity.
     """
     return (
-        monthly_demand(spark, sf_dir)
+        demand
         .withColumn("delivery", F.expr("explode(sequence(1, if(n_returned > 0, 2, 1)))"))
         .selectExpr(
             SKU,
@@ -130,9 +139,8 @@ def raw_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_forecasts(demand: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four algorithms, one unknown label, and three future months without actuals."""
-    demand = monthly_demand(spark, sf_dir)
     columns = ["algo_name AS algorithme", "forecast_qty"]
     past = _per_algorithm(demand, UNKNOWN_ALGORITHM, "CASE WHEN n_returned > 0 THEN gross END")
     future = (
@@ -156,9 +164,9 @@ def raw_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_lead_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_lead_times(demand: DataFrame) -> DataFrame:
     """Four stages per part and month; release days are unknown for unreviewed months."""
-    return monthly_demand(spark, sf_dir).selectExpr(
+    return demand.selectExpr(
         SKU,
         MONTH_TEXT,
         "15 + k % 60 AS lt_besoins_jours",
@@ -168,8 +176,8 @@ def raw_lead_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_supply_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_demand(spark, sf_dir).selectExpr(
+def raw_supply_chain(demand: DataFrame) -> DataFrame:
+    return demand.selectExpr(
         SKU,
         MONTH_TEXT,
         "n_returned AS nb_ruptures",
@@ -179,11 +187,16 @@ def raw_supply_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The four raw feeds over one staged copy of the demand, so the lines are shuffled once.
+
+    Runs a job.
+    """
+    demand = stage(monthly_demand(spark, sf_dir), "demand")
     return RawTables(
-        forecasts=raw_forecasts(spark, sf_dir),
-        actuals=raw_actuals(spark, sf_dir),
-        lead_times=raw_lead_times(spark, sf_dir),
-        supply_chain=raw_supply_chain(spark, sf_dir),
+        forecasts=raw_forecasts(demand, spark, sf_dir),
+        actuals=raw_actuals(demand),
+        lead_times=raw_lead_times(demand),
+        supply_chain=raw_supply_chain(demand),
     )
 
 

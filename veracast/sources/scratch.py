@@ -27,6 +27,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write a table that several branches read to the shared folder and read it back.
+
+    Columnar, so each branch still scans only its own columns. Runs a job.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once, keep in the shared folder, forget the lineage. Runs a job."""
     shared_folder(df.sparkSession)
