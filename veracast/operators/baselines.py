@@ -23,6 +23,26 @@ def naive_forecast(monthly: DataFrame) -> DataFrame:
     return monthly.withColumn("forecast_naive", F.lag("actual_qty", 1).over(history()))
 
 
+def naive_rows(rows: DataFrame) -> DataFrame:
+    """The naive forecast as one more algorithm, for normalised rows that lack it.
+
+    The lag runs over one row per product and month, so it is the same for any number of
+    algorithms; months without a previous actual have no naive row.
+    """
+    months = rows.groupBy("sku_id", "date_month").agg(F.max("actual_qty").alias("actual_qty"))
+    return (
+        naive_forecast(months)
+        .filter(F.col("forecast_naive").isNotNull())
+        .select(
+            "sku_id",
+            F.lit("naive").alias("algo_name"),
+            "date_month",
+            "actual_qty",
+            F.col("forecast_naive").alias("forecast_qty"),
+        )
+    )
+
+
 def moving_average_forecast(monthly: DataFrame, months: int = 3) -> DataFrame:
     """Mean of the ``months`` observed months before; null for the first one."""
     return monthly.withColumn(

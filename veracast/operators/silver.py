@@ -27,6 +27,7 @@ from veracast.schemas import (
     column_names,
     require_columns,
 )
+from veracast.sources.scratch import stage
 
 STAGES = ("lt_besoins_jours", "lt_fabrication_jours", "lt_liberation_jours", "lt_diffusion_jours")
 MONTH_KEY = ["sku_id", "periode"]
@@ -93,13 +94,12 @@ def build_silver(
     Each feed is one row per key before its join, so no join can fan out and a product with
     very many raw rows is already folded. The three right sides and the forecasts are all
     hashed on columns of their own keys; segments join on the product alone, where AQE
-    broadcasts them while they are small and splits skew when they are not. Runs the
-    segmentation job.
+    broadcasts them while they are small and splits skew when they are not. The cleaned
+    actuals feed both the segments and the join, so they are staged. Runs the staging and the
+    segmentation jobs.
     """
-    actuals = clean_actuals(raw.actuals)
-    # The newest month is the same before and after one row per key is kept, and cheaper.
-    newest = align_month(raw.actuals).agg(F.max("periode")).scalar()
-    segments = abcxyz_segments(sales_profile(actuals, settings, newest), settings).select(
+    actuals = stage(clean_actuals(raw.actuals), "actuals")
+    segments = abcxyz_segments(sales_profile(actuals, settings), settings).select(
         "sku_id", "segment_abc", "segment_xyz", "segment_abcxyz", "mape_cible_pct", "cv",
         "ca_total_12m",
     )

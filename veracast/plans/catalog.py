@@ -57,6 +57,11 @@ def query(build: Query) -> Query:
 # -- shared inputs -----------------------------------------------------------------------
 
 
+def _staged_performance(spark, sf_dir):
+    """For queries that read the performance table more than once."""
+    return stage(_performance(spark, sf_dir), "performance")
+
+
 def _raw_actuals(spark, sf_dir):
     return orderbook.raw_actuals(orderbook.monthly_demand(spark, sf_dir))
 
@@ -304,7 +309,7 @@ def risk_distribution(spark, sf_dir):
 
 @query
 def leadtime_corr(spark, sf_dir):
-    perf = _performance(spark, sf_dir)
+    perf = _staged_performance(spark, sf_dir)
     impact = leadtime.leadtime_impact(
         perf, orderbook.master_lead_time(spark, sf_dir), SETTINGS
     )
@@ -323,7 +328,7 @@ def worst_algos_top3(spark, sf_dir):
 
 @query
 def run_summary(spark, sf_dir):
-    perf = _performance(spark, sf_dir)
+    perf = _staged_performance(spark, sf_dir)
     rows = summary.run_summary(
         perf, value_added.forecast_value_added(perf), alerts.drift_alerts(perf, SETTINGS)
     )
