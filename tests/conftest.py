@@ -21,6 +21,7 @@ def make_session() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="veracast-shared-"))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="veracast-warehouse-"))
         .getOrCreate()
