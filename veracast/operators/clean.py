@@ -75,9 +75,15 @@ def missing_audit_columns(df: DataFrame) -> list[str]:
 
 
 def input_profile(df: DataFrame) -> DataFrame:
-    """Rows, products and months of a normalised input, in one job and only when asked for."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct("sku_id").alias("n_products"),
-        F.size(F.collect_set("date_month")).cast("long").alias("n_months"),
+    """Rows, products and months of a normalised input, in one job and only when asked for.
+
+    Rows fold to months on the map side; only the product count shuffles products, and it
+    carries nothing else.
+    """
+    products = df.agg(F.countDistinct("sku_id").alias("n")).scalar()
+    return (
+        df.groupBy("date_month")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n_rows"), F.count("date_month").alias("n_months"))
+        .withColumn("n_products", products)
     )

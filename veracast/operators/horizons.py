@@ -42,11 +42,21 @@ def assign_windows(df: DataFrame, anchor: Anchor, windows: Iterable[int]) -> Dat
     map side. Months after the anchor belong to no window.
     """
     lengths = sorted(set(windows))
-    age = F.col("_age")
-    hit = F.filter(F.array(*[F.lit(w).cast("int") for w in lengths]), lambda w: w > age)
+    # Windows are nested, so a row belongs to the shortest one that reaches it and to all longer
+    # ones: a slice, which unlike a lambda filter stays inside whole-stage codegen.
+    shortest = F
+    for position, length in enumerate(lengths, 1):
+        shortest = shortest.when(F.col("_age") < length, position)
+    hit = F.slice(
+        F.array(*[F.lit(w).cast("int") for w in lengths]),
+        F.col("_shortest"),
+        F.lit(len(lengths) + 1) - F.col("_shortest"),
+    )
     return (
         window_filter(df, anchor, lengths[-1])
         .withColumn("_age", months_ago(F.col("date_month"), anchor))
+        .withColumn("_shortest", shortest)
+        .filter(F.col("_shortest").isNotNull())
         .withColumn("analytical_window_months", F.explode(hit))
-        .drop("_age")
+        .drop("_age", "_shortest")
     )

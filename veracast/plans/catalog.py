@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType
+from pyspark.sql.types import DecimalType, DoubleType, TimestampType
 
 from veracast import measures
 from veracast.config import WINDOWS_EXEC, WINDOWS_FULL, Settings
@@ -39,6 +39,9 @@ def comparable(df: DataFrame) -> DataFrame:
             return rounded(F.col(field.name), 6).alias(field.name)
         if isinstance(field.dataType, DecimalType):
             return F.col(field.name).cast("double").alias(field.name)
+        if isinstance(field.dataType, TimestampType):
+            # Wall-clock time, whatever the session's time zone.
+            return F.col(field.name).cast("timestamp_ntz").alias(field.name)
         return F.col(field.name)
 
     return df.select(*[shown(field) for field in df.schema.fields])
@@ -391,7 +394,7 @@ def algo_distribution(spark, sf_dir):
 
 @query
 def dq_silver(spark, sf_dir):
-    return silver.quality_report(_silver(spark, sf_dir))
+    return silver.quality_report(_staged_silver(spark, sf_dir))
 
 
 # -- baselines and back-test -------------------------------------------------------------
