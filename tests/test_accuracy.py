@@ -107,6 +107,8 @@ def test_one_pass_equals_loop_and_running_frame(spark, rows):
     assert one_pass == rounded(accuracy.performance_all_windows(df, ANCHOR, 24))
     some = {k: v for k, v in one_pass.items() if k[2] in (1, 3, 6, 12)}
     assert some == rounded(accuracy.performance_by_union(df, ANCHOR, [1, 3, 6, 12]))
+    detail = accuracy.error_detail(df, ANCHOR, [1, 3, 6, 12])
+    assert some == rounded(accuracy.performance_of_detail(detail))
     observed = {}
     for (product, algo, window), values in one_pass.items():
         smape, signal, n_obs = values[4], values[6], values[8]

@@ -66,10 +66,20 @@ def performance(
         naive = F.pow(F.col(naive_column) - F.col("actual_qty"), 2)
         rows = rows.withColumn("_naive_squared", naive)
         theils_u = ratio(F.sqrt(F.avg("squared_error")), F.sqrt(F.avg("_naive_squared")))
-    grouped = assign_windows(rows, anchor, windows).groupBy(*GRAIN)
-    return grouped.agg(*[c.alias(name) for name, c in _kpis(theils_u).items()]).select(
-        *PERFORMANCE
-    )
+    return _aggregate(assign_windows(rows, anchor, windows), theils_u)
+
+
+def performance_of_detail(detail: DataFrame) -> DataFrame:
+    """The same KPIs from a stored ``error_detail``, whose rows already carry their window.
+
+    Only the sMAPE term is not stored; it follows from the two quantities.
+    """
+    return _aggregate(error_rows(detail), F.lit(None).cast("double"))
+
+
+def _aggregate(rows: DataFrame, theils_u: Column) -> DataFrame:
+    kpis = [c.alias(name) for name, c in _kpis(theils_u).items()]
+    return rows.groupBy(*GRAIN).agg(*kpis).select(*PERFORMANCE)
 
 
 def performance_by_union(df: DataFrame, anchor: Anchor, windows: Iterable[int]) -> DataFrame:

@@ -36,14 +36,13 @@ def write_silver(
     return silver.sparkSession.read.format(fmt).load(path)
 
 
-def _audit_input(silver: DataFrame, add_naive: bool) -> DataFrame:
+def _audit_input(silver: DataFrame) -> DataFrame:
     wanted = [c for c in ("periode", *clean.AUDIT_COLUMNS, *clean.CANONICAL_NAMES) if c in silver.columns]
     rows = clean.normalize_inputs(silver.select(*wanted))
     missing = clean.missing_audit_columns(rows)
     if missing:
         raise ValueError(f"audit input lacks {missing}")
-    rows = rows.select(*clean.AUDIT_COLUMNS)
-    return rows.unionByName(baselines.naive_rows(rows)) if add_naive else rows
+    return rows.select(*(["periode"] if "periode" in rows.columns else []), *clean.AUDIT_COLUMNS)
 
 
 def run_gold(
@@ -66,11 +65,14 @@ def run_gold(
     always kept in the lake format, and read back instead of being computed twice.
     """
     settings = settings or Settings.from_env()
-    rows = _audit_input(silver, add_naive)
+    rows = _audit_input(silver)
     newest = horizons.max_month(rows, anchor).first()["max_month"]
     if newest is None:
         return {}
     run = RunContext(newest)
+    if add_naive:
+        # The naive rows lie in months the data already has, so they cannot move the anchor.
+        rows = rows.drop("periode").unionByName(baselines.naive_rows(rows))
     tables: dict[str, DataFrame] = {}
 
     def publish(name: str, df: DataFrame, window_anchor: bool = True) -> DataFrame:
@@ -87,11 +89,12 @@ def run_gold(
             tables[name] = spark.read.format(fmt).load(path)
         return tables[name]
 
-    publish("error_detail", accuracy.error_detail(rows, newest, settings.windows))
+    detail = publish("error_detail", accuracy.error_detail(rows, newest, settings.windows))
     if tuple(settings.windows) == WINDOWS_FULL:
+        # 24 nested windows repeat each row up to 24 times in the detail; the monthly rows do not.
         kpis = accuracy.performance_all_windows(rows, newest, max(WINDOWS_FULL))
     else:
-        kpis = accuracy.performance(rows, newest, settings.windows)
+        kpis = accuracy.performance_of_detail(detail)
     perf = publish("performance", kpis)
     fva = publish("forecast_value_added", value_added.forecast_value_added(perf))
     raised = publish("drift_alerts", alerts.with_alert_text(alerts.drift_alerts(perf, settings)))
