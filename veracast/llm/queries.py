@@ -2,11 +2,41 @@
 
 from __future__ import annotations
 
-from veracast.llm.common import table
+from pyspark.sql import functions as F
+
+from veracast.llm.common import bucket, table
 from veracast.llm.credentials import credential_spans
 from veracast.llm.packing import packed_sequences
+from veracast.llm.quality import quality
+from veracast.llm.simhash import hex_fingerprint, near_duplicates
 from veracast.llm.token_files import token_files
 from veracast.llm.tokens import tokenizer_path
+from veracast.llm.toxicity import toxicity
+
+#: A score from here on counts as the label.
+THRESHOLD = 0.3
+
+
+def _judged(scores, held_out):
+    return scores.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity_ftrl(spark, sf_dir):
+    held_out = bucket(F.col("doc_id"), 4) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _judged(toxicity(docs, table(spark, sf_dir, "labels"), ~held_out), held_out)
+
+
+def op3_simhash_trie(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    found = near_duplicates(docs, ["doc_id"], shingle=3, budget=2)
+    fingerprint = hex_fingerprint(F.element_at("prints", 1)).alias("fingerprint")
+    return found.select("doc_id", fingerprint, "component_id")
 
 
 def op4_addressable_token_files(spark, sf_dir):
@@ -14,6 +44,12 @@ def op4_addressable_token_files(spark, sf_dir):
     return token_files(docs, tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def op5_quality_fourier_ridge(spark, sf_dir):
+    held_out = bucket(F.col("doc_id"), 5) == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _judged(quality(docs, table(spark, sf_dir, "labels"), ~held_out), held_out)
+
+
 def op6_best_fit_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packed_sequences(docs, tokenizer_path("byte_bpe_50k.json"), end_id=2, room=1024)
