@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from veracast.llm.common import bucket, table
 from veracast.llm.credentials import credential_spans
+from veracast.llm.decontamination import contamination
+from veracast.llm.oracles import ORACLE_SQL
 from veracast.llm.packing import packed_sequences
 from veracast.llm.quality import quality
 from veracast.llm.simhash import hex_fingerprint, near_duplicates
@@ -55,6 +57,19 @@ def op6_best_fit_packing(spark, sf_dir):
     return packed_sequences(docs, tokenizer_path("byte_bpe_50k.json"), end_id=2, room=1024)
 
 
+def op7_prefix_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_credential_spans(spark, sf_dir):
     return credential_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -62,4 +77,4 @@ def op9_credential_spans(spark, sf_dir):
 QUERIES = {
     name: build for name, build in list(globals().items()) if name.startswith("op") and "_" in name
 }
-ORACLES: dict[str, str] = {}
+ORACLES = ORACLE_SQL
