@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from veracast.llm.common import bucket, table
 from veracast.llm.credentials import credential_spans
 from veracast.llm.decontamination import contamination
+from veracast.llm.mtree import integer_vectors, top_inner_products
 from veracast.llm.oracles import ORACLE_SQL
 from veracast.llm.packing import packed_sequences
 from veracast.llm.quality import quality
@@ -70,6 +71,11 @@ def op7_prefix_decontamination(spark, sf_dir):
     )
 
 
+def op8_mtree_top_products(spark, sf_dir):
+    vectors = integer_vectors(table(spark, sf_dir, "embeddings"), scale=1024)
+    return top_inner_products(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op9_credential_spans(spark, sf_dir):
     return credential_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
