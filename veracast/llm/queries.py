@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 from veracast.llm.common import bucket, table
 from veracast.llm.credentials import credential_spans
 from veracast.llm.decontamination import contamination
+from veracast.llm.line_templates import drop_recurring_lines
 from veracast.llm.mtree import integer_vectors, top_inner_products
 from veracast.llm.oracles import ORACLE_SQL
 from veracast.llm.packing import packed_sequences
 from veracast.llm.quality import quality
 from veracast.llm.simhash import hex_fingerprint, near_duplicates
+from veracast.llm.surrogates import replace_entities
 from veracast.llm.token_files import token_files
 from veracast.llm.tokens import tokenizer_path
 from veracast.llm.toxicity import toxicity
 
 #: A score from here on counts as the label.
 THRESHOLD = 0.3
+#: In production a secret of the cluster; here fixed, so that runs agree.
+SURROGATE_KEY = b"surrogates of the test tables"
 
 
 def _judged(scores, held_out):
@@ -35,6 +39,12 @@ def op1_toxicity_ftrl(spark, sf_dir):
     return _judged(toxicity(docs, table(spark, sf_dir, "labels"), ~held_out), held_out)
 
 
+def op2_line_templates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = drop_recurring_lines(docs)
+    return found.select("row.doc_id", "text", F.col("lost").cast("long").alias("n_dropped"))
+
+
 def op3_simhash_trie(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
     found = near_duplicates(docs, ["doc_id"], shingle=3, budget=2)
@@ -80,6 +90,11 @@ def op9_credential_spans(spark, sf_dir):
     return credential_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_pii_surrogates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs, SURROGATE_KEY)
+
+
 QUERIES = {
     name: build for name, build in list(globals().items()) if name.startswith("op") and "_" in name
 }
