@@ -17,11 +17,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracast.llm.common import in_arrow, labelled, map_batches
+from veracast.shipping import ship
 from veracast.sources.scratch import stage
 
 #: Labelled rows to learn from, and tasks that sum the normal equations.
@@ -190,6 +192,13 @@ def raw_bins(raw: np.ndarray) -> np.ndarray:
     return np.clip((raw + 0.5) / 2 * BINS, 0, BINS - 1).astype(np.int64)
 
 
+def _scores(x: np.ndarray, model: dict) -> np.ndarray:
+    """Calibrated scores of rows of statistics."""
+    places = np.arange(BINS) / BINS * 2 - 0.5 + 1 / BINS
+    raw = _cosines(x, model["mean"], model["scale"]) @ model["weights"]
+    return np.interp(raw, places, model["steps"])
+
+
 def score(statistics_of: DataFrame, model: dict) -> DataFrame:
     """The columns of ``statistics_of``, with score in place of the statistics."""
     kept = [c for c in statistics_of.columns if c != "statistics"]
@@ -200,14 +209,10 @@ def score(statistics_of: DataFrame, model: dict) -> DataFrame:
     sent = statistics_of.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
-        places = np.arange(BINS) / BINS * 2 - 0.5 + 1 / BINS
         for batch in batches:
             for first in range(0, batch.num_rows, 2048):
                 rows = batch.slice(first, 2048)
-                x = _matrix(rows.column(len(kept)))
-                raw = _cosines(x, known["mean"], known["scale"]) @ known["weights"]
-                scores = np.interp(raw, places, known["steps"])
+                scores = _scores(_matrix(rows.column(len(kept))), sent.value)
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns[: len(kept)], pa.array(scores)], [*kept, "score"]
                 )
@@ -220,3 +225,28 @@ def quality(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = stage(document_statistics(rows, ["doc_id"]), "quality-statistics")
     return score(known, fit(known, labels, "quality", usable))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, usable: Column, least: float) -> DataFrame:
+    """The rows of ``docs``, whole, with a score of ``least`` or more.
+
+    Learns from the texts of the sample alone and scores in the pass that filters, so texts are
+    neither shuffled nor staged.
+    """
+    sample = labelled(labels, "quality", usable, SAMPLE_ROWS)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # About SAMPLE_ROWS ids.
+    rows = rows.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")
+    known = stage(document_statistics(rows, ["doc_id"]), "quality-statistics")
+    model = fit(known, labels, "quality", usable)
+    if not model:
+        return docs
+    ship(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        x = np.array([statistics(t) for t in texts.fillna("")]).reshape(-1, N_STATISTICS)
+        return pd.Series(_scores(x.astype(np.float32).astype(float), sent.value))
+
+    return docs.where(scored(docs["text"]) >= least)

@@ -205,7 +205,7 @@ def _node_pairs(prints: DataFrame, budget: int) -> DataFrame:
         .withColumn("node", F.xxhash64("table", "trie", F.expr(_top("turned", "depth"))))
     )
     key = ["table", "trie", "depth", "used", "node"]
-    rows, ready = stage(rows, "trie-nodes"), None
+    ready = None
     while True:
         sizes = rows.groupBy(*key).agg(
             F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high")
@@ -218,7 +218,7 @@ def _node_pairs(prints: DataFrame, budget: int) -> DataFrame:
         large = counted.where((F.col("n") > NODE_ROWS) & (F.col("depth") < BITS))
         if large.isEmpty():
             return ready
-        rows = stage(_split(large.drop("n"), budget), "trie-nodes")
+        rows = _split(large.drop("n"), budget)
 
 
 def _split(large: DataFrame, budget: int) -> DataFrame:
@@ -264,8 +264,11 @@ def _links(prints: DataFrame, budget: int) -> DataFrame:
     dealt = _node_pairs(prints, budget).withColumn(
         "slice", F.xxhash64("table", "trie", "depth", "used", "node")
     )
-    ordered = dealt.repartition("slice").sortWithinPartitions("slice", "side", "turned")
     firsts = [first for first, _ in _blocks(budget)]
+    kind_of = ["table", "trie", "depth", "used"]
+    # Keys order as unsigned numbers.
+    by_key = F.col("turned").bitwiseXOR(F.lit(-(1 << 63)))
+    ordered = dealt.repartition("slice").sortWithinPartitions("slice", "side", by_key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -292,33 +295,26 @@ def _links(prints: DataFrame, budget: int) -> DataFrame:
             if rows is None or not rows.num_rows:
                 return
             slices = rows.column("slice").to_numpy()
-            cuts = [0, *(np.flatnonzero(slices[1:] != slices[:-1]) + 1).tolist(), len(slices)]
-            columns = {c: rows.column(c).to_numpy() for c in rows.column_names}
-            turned = columns["turned"].view(np.uint64)
-            for kind in {
-                *zip(*(columns[c].tolist() for c in ("table", "trie", "depth", "used")))
-            }:
-                own = [
-                    (a, b)
-                    for a, b in zip(cuts, cuts[1:])
-                    if tuple(int(columns[c][a]) for c in ("table", "trie", "depth", "used")) == kind
-                ]
-                table, trie, depth, used = kind
-                # Each node pair's keys, sorted; node pairs of one kind are joined together.
-                place = np.concatenate([np.arange(a, b) for a, b in own])
-                low = turned[place]
-                keys, back = np.unique(low, return_inverse=True)
-                start, at = [], 0
-                for a, b in own:
-                    mine, at = back[at : at + b - a], at + b - a
-                    sides = columns["side"][a:b]
-                    if sides[0] == 0:
-                        start.append((mine.min(), mine.max() + 1, mine.min(), mine.max() + 1, used))
-                    else:
-                        x, y = mine[sides == 1], mine[sides == 2]
-                        start.append((x.min(), x.max() + 1, y.min(), y.max() + 1, used))
-                front = np.array(start, dtype=np.int64)
-                root = _roots(len(keys), linked_places(keys, front, depth, budget))
+            first = np.append(0, np.flatnonzero(slices[1:] != slices[:-1]) + 1)
+            last = np.append(first[1:], len(slices))
+            turned = rows.column("turned").to_numpy().view(np.uint64)
+            side = rows.column("side").to_numpy()
+            about = np.stack([rows.column(c).to_numpy()[first] for c in kind_of], 1)
+            kinds, of = np.unique(about, axis=0, return_inverse=True)
+            for i, (table, trie, depth, used) in enumerate(kinds.tolist()):
+                # Node pairs of one kind are joined together, over their sorted distinct keys.
+                mine = np.flatnonzero(of.ravel() == i)
+                spans = list(zip(first[mine].tolist(), last[mine].tolist()))
+                keys = np.unique(np.concatenate([turned[a:b] for a, b in spans]))
+                front = []
+                for a, b in spans:  # sorted by side, then by key
+                    cut = a + int(np.searchsorted(side[a:b], 2)) if side[a] else a
+                    left, right = (turned[a:cut], turned[cut:b]) if side[a] else (turned[a:b],) * 2
+                    ends = [left[0], left[-1], right[0], right[-1]]
+                    w, x, y, z = np.searchsorted(keys, ends).tolist()
+                    front.append((w, x + 1, y, z + 1, used))
+                start = np.array(front, dtype=np.int64)
+                root = _roots(len(keys), linked_places(keys, start, depth, budget))
                 more = np.flatnonzero(root != np.arange(len(root)))
                 if not len(more):
                     continue
@@ -392,7 +388,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, carried: list[str], shingle: int, budget: int, tables: int = 1
 ) -> DataFrame:
-    """``carried`` columns (doc_id among them), ``prints`` and ``component_id`` of every row.
+    """``carried`` columns (doc_id among them), ``prints``, ``root`` and ``component_id`` of each row.
 
     ``component_id`` is the smallest id that a document reaches over links; with several tables
     two documents link if any of their fingerprints do.
@@ -433,7 +429,7 @@ def near_duplicates(
         named = named.select("prints", "least", F.coalesce("root", "class").alias("root"))
     named = stage(named, "print-roots")
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = named.join(smallest, "root").select("prints", "component_id")
+    by_class = named.join(smallest, "root").select("prints", "root", "component_id")
     return known.join(by_class, "prints")
 
 
