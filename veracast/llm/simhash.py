@@ -233,8 +233,7 @@ def _split(large: DataFrame, budget: int) -> DataFrame:
     flips = [v for v in range(1 << SPLIT_BITS) if bin(v).count("1") <= budget]
     other = F.explode(F.array(*[F.lit(v).cast("long") for v in flips]))
     pairs = deeper.withColumn("flip", other).where(
-        (F.col("flip") < F.shiftleft(F.lit(1).cast("long"), F.lit(SPLIT_BITS)))
-        & F.expr("flip < shiftleft(1L, bits)")
+        F.expr("flip < shiftleft(1L, bits)")
         & (F.col("used") + F.bit_count("flip") <= budget)
     )
     partner = F.col("child").bitwiseXOR(F.col("flip"))
