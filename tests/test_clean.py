@@ -31,7 +31,13 @@ def test_one_row_per_key_keeps_whole_smallest_row(spark):
     for partitions in (1, 5):
         got = clean.one_row_per_key(df.repartition(partitions), ["k"])
         assert got.columns == ["k", "q", "n"]
-        assert sorted(map(tuple, got.collect())) == [("a", 1.0, 3), ("b", None, 5)]
+        assert sorted(map(tuple, got.collect())) == [("a", 1.0, 3), ("b", 0.0, 1)]
+
+
+def test_month_census_counts_what_cleaning_would_lose(spark):
+    rows = [("2001-01",), ("03/2002",), (None,), ("next month",), ("2001-13",)]
+    row = clean.month_census(spark.createDataFrame(rows, "periode string")).first()
+    assert tuple(row) == (2, 1, 2)
 
 
 def test_one_row_per_key_folds_a_hot_key_before_the_shuffle(spark):

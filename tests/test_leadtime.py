@@ -54,10 +54,10 @@ def test_metric_preference(spark):
 def correlate(spark, rows, days):
     df = perf(spark, rows)
     master = spark.createDataFrame(days, "product_id string, lead_time_days int")
-    impact = leadtime.leadtime_impact(df, master)
+    impact = leadtime.leadtime_impact(df, master, keep_metrics=True)
     return {
         (r.analytical_window_months, r.corr_metric_name): (r.correlation_value, r.n_products)
-        for r in leadtime.leadtime_correlation(impact, df).collect()
+        for r in leadtime.leadtime_correlation(impact).collect()
     }
 
 

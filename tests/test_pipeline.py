@@ -97,7 +97,11 @@ def test_options_full_windows_naive_rows_segments_and_csv(spark, silver, tmp_pat
 
 
 def test_empty_and_incomplete_input(spark, silver, tmp_path):
-    assert pipeline.run_gold(spark, silver.limit(0), str(tmp_path)) == {}
+    pipeline.run_gold(spark, silver, str(tmp_path), Settings())
+    empty = pipeline.run_gold(spark, silver.limit(0), str(tmp_path), Settings())
+    assert set(empty) == set(schemas.GOLD_TABLES)
+    for name, df in empty.items():  # also no rows of the run before
+        assert df.isEmpty() and df.columns == schemas.contract(name).fieldNames()
     with pytest.raises(ValueError, match="forecast_qty"):
         pipeline.run_gold(spark, silver.drop("forecast_qty"), str(tmp_path))
 
@@ -135,12 +139,12 @@ class TestSources:
         with pytest.raises(ValueError):
             lake.write_output(df, "x", str(tmp_path), mode="fax")
 
-    def test_single_file_and_its_limit(self, spark, tmp_path):
+    def test_single_file_for_small_tables_only(self, spark, tmp_path):
         df = spark.range(0, 50, 1, 6)
-        assert lake.write_single_csv(df, str(tmp_path / "one")) == 50
+        lake.write_single_csv(df, str(tmp_path / "one"), "leaderboard")
         assert len(list((tmp_path / "one").glob("part-*.csv"))) == 1
-        with pytest.raises(ValueError, match="50 rows"):
-            lake.write_single_csv(df, str(tmp_path / "two"), max_rows=49)
+        with pytest.raises(ValueError, match="grows"):
+            lake.write_single_csv(df, str(tmp_path / "two"), "performance")
 
     def test_bucketed_table_groups_without_a_shuffle(self, spark):
         df = spark.range(100).selectExpr("cast(id % 9 as string) AS sku_id", "id AS q")
@@ -155,5 +159,75 @@ class TestSources:
         assert scratch.fresh_path(spark, "x").startswith(folder)
         assert scratch.stage(spark.range(3), "y").count() == 3
         assert list(Path(folder).glob("y-*"))
-        assert scratch.materialize(spark.range(4)).count() == 4
-        assert spark.sparkContext.getCheckpointDir().removeprefix("file:").startswith(folder)
+
+    def test_a_run_removes_what_it_staged(self, spark):
+        with scratch.run_folder(spark) as folder:
+            assert scratch.stage(spark.range(3), "y").count() == 3
+            assert list(Path(folder).glob("y-*"))
+        assert not Path(folder).exists()
+        assert not scratch.fresh_path(spark, "z").startswith(folder)
+
+    def test_a_cluster_needs_the_setting(self, monkeypatch):
+        class Conf:
+            def get(self, name, default=None):
+                return default
+
+        class Context:
+            applicationId = "app"
+            getConf = staticmethod(Conf)
+
+            def __init__(self, master):
+                self.master = master
+
+        class Session:
+            conf = Conf()
+
+            def __init__(self, master):
+                self.sparkContext = Context(master)
+
+        for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                scratch.shared_folder(Session(master))
+        local = scratch.shared_folder(Session("local[2]"))
+        assert local == scratch.shared_folder(Session("local[2]"))
+
+
+def test_from_paths_to_all_tables(spark, sf_dir, tmp_path):
+    """Three feeds in the lake, one only as CSV; every contract holds and nothing is left behind."""
+    raw = orderbook.raw_tables(spark, sf_dir)
+    for name in ("forecasts", "actuals", "lead_times"):
+        lake.write_table(getattr(raw, name), str(tmp_path / "raw" / name))
+    lake.write_csv(raw.supply_chain, str(tmp_path / "csv" / "supply_chain.csv"))
+    paths = pipeline.Paths(str(tmp_path / "raw"), str(tmp_path / "lake"), str(tmp_path / "csv"))
+    before = set(Path(scratch.shared_folder(spark)).glob("*"))
+    tables = pipeline.run(
+        spark,
+        paths,
+        Settings(),
+        catalog.PROCESSED_AT,
+        backtest_inputs=(
+            orderbook.backtest_sales(spark, sf_dir),
+            orderbook.backtest_planner(spark, sf_dir),
+            orderbook.backtest_master(spark, sf_dir),
+        ),
+        add_naive=True,
+        theils_u=True,
+    )
+    assert set(tables) == set(schemas.CONTRACTS)
+    for name, df in tables.items():
+        assert df.columns == schemas.contract(name).fieldNames() and not df.isEmpty()
+    assert set(Path(scratch.shared_folder(spark)).glob("*")) == before
+    assert tables["performance"].filter("theils_u IS NOT NULL").count() > 0
+    assert (tmp_path / "lake" / "forecasts_clean" / "periode=2001-01-01").exists()
+    judged = tables["backtest_evaluation"]
+    assert judged.filter("Forecast_HoltWinters IS NULL OR Forecast_Prophet IS NOT NULL").isEmpty()
+
+
+def test_windows_do_not_change_the_kpis(spark, silver, tmp_path):
+    """The running frame takes any list of windows."""
+    few = pipeline.run_gold(spark, silver, str(tmp_path / "a"), Settings(windows=(2, 5, 12)))
+    many = pipeline.run_gold(spark, silver, str(tmp_path / "b"), Settings(windows=WINDOWS_FULL))
+    kept = ["product_id", "algo_name", "analytical_window_months", "mape", "n_obs"]
+    a = few["performance"].select(*kept)
+    b = many["performance"].select(*kept).filter("analytical_window_months IN (2, 5, 12)")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

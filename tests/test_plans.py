@@ -8,12 +8,13 @@ import re
 import pytest
 
 from veracast.config import WINDOWS_EXEC
-from veracast.operators import accuracy, horizons, segment_kpis, summary
+from veracast.operators import accuracy, horizons, leadtime, segment_kpis, summary
 from veracast.operators import clean
-from veracast.plans import catalog
+from veracast.plans import catalog, pipeline
+from veracast.sources import lake
 from veracast.sources.scratch import stage
 
-PYTHON_ALLOWED = {"backtest_holdout", "backtest_holt_winters", "backtest_eval", "risk_top100"}
+PYTHON_ALLOWED = {"backtest_holt_winters"}
 
 
 def plan(df) -> str:
@@ -60,7 +61,7 @@ def test_performance_reads_silver_once_and_shuffles_once(rows):
 
 def test_all_windows_sort_months_not_windows(rows):
     text = plan(accuracy.performance_all_windows(rows, ANCHOR))
-    assert text.count("FileScan") == 1 and text.count("Exchange") == 2
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
 
 
 def test_top_k_is_cut_before_the_shuffle(spark, rows):
@@ -102,3 +103,40 @@ def test_only_range_totals_meet_in_one_task(spark, sf_dir, name):
     for i in single:
         below = "\n".join(lines[i + 1 : i + 3])
         assert "HashAggregate(keys=[_range" in below
+
+
+def test_gold_detail_with_naive_rows_still_prunes_months(spark, stored, tmp_path, monkeypatch):
+    """Stored months partition Silver; both branches of the detail filter on them."""
+    path = str(tmp_path / "silver")
+    lake.write_table(stored, path, partition_by=pipeline.PARTITIONS["forecasts_clean"])
+    silver = spark.read.parquet(path)
+    seen = {}
+    plain = accuracy.error_detail
+
+    def keep(rows, anchor, windows):
+        seen["text"] = plan(plain(rows, anchor, windows))
+        return plain(rows, anchor, windows)
+
+    monkeypatch.setattr(accuracy, "error_detail", keep)
+    pipeline.run_gold(spark, silver, str(tmp_path / "gold"), add_naive=True)
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)", seen["text"])
+    assert any("periode" in f and ">=" in f for f in filters)
+
+
+def test_correlation_reads_performance_once_without_a_join(spark, stored):
+    perf = stage(
+        accuracy.performance(clean.normalize_inputs(stored), ANCHOR, WINDOWS_EXEC), "perf-plans"
+    )
+    impact = leadtime.leadtime_impact(perf, keep_metrics=True)
+    text = plan(leadtime.leadtime_correlation(impact))
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_segment_tables_read_silver_once(spark, stored, tmp_path, monkeypatch):
+    made = []
+    plain = segment_kpis.segment_totals
+    monkeypatch.setattr(
+        segment_kpis, "segment_totals", lambda silver: made.append(1) or plain(silver)
+    )
+    pipeline.run_segment_gold(spark, stored, str(tmp_path))
+    assert len(made) == 1

@@ -7,9 +7,10 @@ from engine_check import connect, differences
 
 import __spark_entry__ as driver
 from veracast.plans import catalog
+from veracast.plans.checks import oracle_queries
 from veracast.sources.scratch import stage
 
-SQL = driver.oracle_sql()
+SQL = oracle_queries()
 WITHOUT_SQL = {"backtest_holt_winters"}
 
 
@@ -30,7 +31,8 @@ def shared_silver(spark, sf_dir):
 
 
 def test_every_query_has_sql_or_is_listed():
-    assert set(driver.queries()) == set(SQL) | WITHOUT_SQL
+    assert set(catalog.QUERIES) == set(SQL) | WITHOUT_SQL
+    assert set(catalog.QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -91,18 +91,25 @@ def performance_by_union(df: DataFrame, anchor: Anchor, windows: Iterable[int])
     return out
 
 
-def performance_all_windows(df: DataFrame, anchor: Anchor, longest: int = 24) -> DataFrame:
-    """Every window length 1..``longest`` without repeating each row per window.
+def performance_all_windows(
+    df: DataFrame, anchor: Anchor, windows: int | Iterable[int] = 24
+) -> DataFrame:
+    """Many window lengths (1 to ``windows``, or those listed) without repeating rows per window.
 
     Rows are first folded to months, then added up from the newest month backwards: after
     month ``a`` the running totals are the window ``a + 1``, and they stay valid for every
     longer window until the next observed month. So each (product, algorithm) sorts at most
-    ``longest`` rows, and only the result cells are produced.
+    as many rows as the longest window has months, and only the result cells are produced.
+    Months and windows both group below (product, algorithm), so one shuffle on that pair serves
+    both; the input has about a row per month, which folding before it would not shrink.
     """
+    lengths = sorted(set(range(1, windows + 1) if isinstance(windows, int) else windows))
+    longest = lengths[-1]
     rows = (
         window_filter(error_rows(df), anchor, longest)
         .withColumn("_age", months_ago(F.col("date_month"), anchor))
         .filter((F.col("_age") >= 0) & (F.col("_age") < longest))
+        .repartition("product_id", "algo_name")
     )
     terms = {
         "abs": F.sum("abs_error"),
@@ -130,7 +137,7 @@ def performance_all_windows(df: DataFrame, anchor: Anchor, longest: int = 24) ->
             until.alias("_until"),
             *[F.sum(name).over(so_far).alias(name) for name in terms],
         )
-        .withColumn("analytical_window_months", F.explode(F.sequence("_from", "_until")))
+        .withColumn("analytical_window_months", F.explode(_within(lengths)))
         .drop("_from", "_until")
     )
     mad = ratio(F.col("abs"), F.col("n_err"))
@@ -148,11 +155,20 @@ def performance_all_windows(df: DataFrame, anchor: Anchor, longest: int = 24) ->
     )
 
 
+def _within(lengths: list[int]) -> Column:
+    """The wanted lengths from ``_from`` to ``_until``."""
+    if lengths == list(range(1, lengths[-1] + 1)):
+        return F.sequence("_from", "_until")
+    wanted = F.array(*[F.lit(w).cast("int") for w in lengths])
+    return F.filter(wanted, lambda w: w.between(F.col("_from"), F.col("_until")))
+
+
 def best_algorithm(perf: DataFrame, metric: str) -> DataFrame:
     """The row with the lowest ``metric`` per product and window; ties go to the first name.
 
     An algorithm without the metric is chosen only when no other has it. A ``min`` over a
-    struct, so there is no sort of the group and copies fold on the map side.
+    struct: candidates fold on the map side, by a sort of each task's rows since a struct can't
+    be hash-aggregated, and only one row a group is shuffled.
     """
     rest = [c for c in perf.columns if c not in ("product_id", "analytical_window_months")]
     order = F.struct(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import numpy as np
 import pandas as pd
@@ -13,12 +13,36 @@ from veracast.config import Settings
 from veracast.functions.errors import signed_error_share
 from veracast.functions.forecasters import Forecaster
 from veracast.functions.numeric import rounded, steady
+from veracast.shipping import ship
 
 KEY = ["Material_ID", "Sales_Date"]
 
 
-def _forecast_column(train: Column, forecaster: Forecaster, horizon: int) -> Column:
-    """Forecasts for a column of train arrays, one Arrow batch at a time, clipped at 0."""
+ColumnForecaster = Callable[[Column, int], Column]
+
+
+def mean_column(train: Column, horizon: int) -> Column:
+    """The train mean, as a column function: no Python worker."""
+    total = F.aggregate(train, F.lit(0.0), lambda a, x: a + x)
+    return F.array_repeat(F.greatest(total / F.size(train), F.lit(0.0)), horizon)
+
+
+def last_column(train: Column, horizon: int) -> Column:
+    """The last train value, as a column function."""
+    return F.array_repeat(F.greatest(F.element_at(train, -1), F.lit(0.0)), horizon)
+
+
+# Column functions that stand for a whole forecaster.
+NATIVE = (mean_column, last_column)
+
+
+def _forecast_column(train: Column, forecaster, horizon: int) -> Column:
+    """Forecasts for a column of train arrays, clipped at 0.
+
+    A column function is used as it is; a fitted model runs on one Arrow batch at a time.
+    """
+    if forecaster in NATIVE:
+        return forecaster(train, horizon)
 
     def run(batch: pd.Series) -> pd.Series:
         if batch.empty:
@@ -32,7 +56,7 @@ def _forecast_column(train: Column, forecaster: Forecaster, horizon: int) -> Col
 
 def holdout_forecasts(
     sales: DataFrame,
-    forecasters: Mapping[str, Forecaster],
+    forecasters: Mapping[str, Forecaster | ColumnForecaster],
     settings: Settings = Settings(),
     one_row_per_date: bool = False,
 ) -> DataFrame:
@@ -59,6 +83,8 @@ def holdout_forecasts(
         )
     )
     names = list(forecasters)
+    if any(f not in NATIVE for f in forecasters.values()):
+        ship(sales.sparkSession)
     forecast = split.select(
         "Material_ID",
         "test",

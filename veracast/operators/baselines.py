@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from veracast.functions.months import month_index
+
+
 def history():
     return Window.partitionBy("sku_id").orderBy("date_month")
 
@@ -43,6 +46,19 @@ def naive_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_previous_actual(rows: DataFrame) -> DataFrame:
+    """Normalised rows with ``forecast_naive``: the product's actual in its month before.
+
+    All algorithms of a month share the actual, so a frame that ends a month earlier finds it.
+    """
+    earlier = (
+        Window.partitionBy("sku_id")
+        .orderBy(month_index(F.col("date_month")))
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
+    return rows.withColumn("forecast_naive", F.last("actual_qty").over(earlier))
+
+
 def moving_average_forecast(monthly: DataFrame, months: int = 3) -> DataFrame:
     """Mean of the ``months`` observed months before; null for the first one."""
     return monthly.withColumn(

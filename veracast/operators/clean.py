@@ -40,17 +40,39 @@ def algorithm_census(
     )
 
 
+def month_census(df: DataFrame, column: str = "periode") -> DataFrame:
+    """Rows whose month is known, missing, or a text in no accepted format; taken before
+    cleaning, where the last two become a null month that joins nothing."""
+    given = df.select(F.col(column).alias("_given"), F.col(column).alias("_month"))
+    return align_month(given, "_month").agg(
+        F.count("_month").alias("rows_with_month"),
+        F.count_if(F.col("_given").isNull()).alias("rows_without_month"),
+        F.count_if(F.col("_given").isNotNull() & F.col("_month").isNull()).alias(
+            "rows_unparseable"
+        ),
+    )
+
+
 def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The smallest row of each key, comparing the other columns left to right, nulls first.
+    """The smallest row of each key, comparing the other columns left to right, nulls last.
 
-    Unlike an arbitrary survivor this is repeatable after a lost executor, and being a plain
-    ``min`` it folds copies of a hot key on the map side before anything is shuffled.
+    A row that has a value never loses to one that lacks it. Unlike an arbitrary survivor this is
+    repeatable after a lost executor, and being a plain ``min`` it folds copies of a hot key on
+    the map side before anything is shuffled.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return best.select(*[F.col(f"_row.{c}").alias(c) if c in rest else c for c in df.columns])
+    places = {c: f"c{i}" for i, c in enumerate(rest)}
+    ordered = [
+        part
+        for c, place in places.items()
+        for part in (F.col(c).isNull().alias(f"no_{place}"), F.col(c).alias(place))
+    ]
+    best = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_row"))
+    return best.select(
+        *[F.col(f"_row.{places[c]}").alias(c) if c in places else c for c in df.columns]
+    )
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, float]) -> DataFrame:

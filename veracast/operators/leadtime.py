@@ -37,11 +37,13 @@ def leadtime_impact(
     perf: DataFrame,
     master_lead_time: DataFrame | None = None,
     settings: Settings = Settings(),
+    keep_metrics: bool = False,
 ) -> DataFrame:
     """Safety-stock days of the best algorithm (by MAPE) per product and window.
 
     ``master_lead_time`` (product_id, lead_time_days) has one row per product and grows with
     the catalogue, so it is not forced into a broadcast; products it misses use the default.
+    ``keep_metrics`` carries the best row's WAPE and sMAPE along for ``leadtime_correlation``.
     """
     default = F.lit(settings.default_lead_time_days)
     name, value = volatility(perf.columns, settings)
@@ -60,6 +62,7 @@ def leadtime_impact(
         days = F.coalesce(known, default)
         source = F.when(known.isNotNull(), "masterdata").otherwise("default")
     level = F.col("risk_severity")
+    metrics = [c for c in ("wape", "smape") if keep_metrics and c in perf.columns]
     return best.select(
         "product_id",
         "analytical_window_months",
@@ -67,6 +70,7 @@ def leadtime_impact(
         source.alias("lead_time_days_source"),
         F.lit(name).alias("volatility_metric_name"),
         between(value, 0.0, 1.0).alias("volatility_metric_value"),
+        *metrics,
     ).select(
         "*",
         rounded(F.col("lead_time_days") * F.col("volatility_metric_value"), 2).alias(
@@ -85,18 +89,15 @@ def risk_distribution(impact: DataFrame) -> DataFrame:
     )
 
 
-def leadtime_correlation(impact: DataFrame, perf: DataFrame) -> DataFrame:
+def leadtime_correlation(impact: DataFrame) -> DataFrame:
     """Pearson of lead time against WAPE and sMAPE across products, two rows per window.
 
-    Null with fewer than three products or pairs, and when either side is constant. The join
-    is on the key both sides are already grouped by; the correlation folds on the map side.
+    ``impact`` has the metrics of its best rows (``keep_metrics``), so nothing is joined. Null
+    with fewer than three products or pairs, and when either side is constant. The correlation
+    folds on the map side.
     """
-    key = ["product_id", "analytical_window_months"]
-    pairs = impact.select(*key, "lead_time_days").join(
-        best_algorithm(perf, "mape").select(*key, "wape", "smape"), key
-    )
     days = F.col("lead_time_days")
-    wide = pairs.groupBy("analytical_window_months").agg(
+    wide = impact.groupBy("analytical_window_months").agg(
         F.count(F.lit(1)).alias("n_products"),
         correlation(days, F.col("wape"), MIN_PRODUCTS).alias("wape"),
         correlation(days, F.col("smape"), MIN_PRODUCTS).alias("smape"),

@@ -45,7 +45,7 @@ def with_previous_actual(silver: DataFrame) -> DataFrame:
     return silver.withColumn("forecast_naive", F.last("ventes_reelles_qty").over(earlier))
 
 
-def _totals(silver: DataFrame) -> DataFrame:
+def segment_totals(silver: DataFrame) -> DataFrame:
     """Additive error totals per algorithm and segment: a handful of rows from one shuffle."""
     actual, forecast = F.col("ventes_reelles_qty"), F.col("forecast_qty")
     error = forecast - actual
@@ -104,7 +104,11 @@ def _kpis(totals: DataFrame, settings: Settings) -> DataFrame:
 
 
 def segment_performance(silver: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    return _kpis(_totals(silver), settings).drop("naive_ape_total", "naive_n")
+    return performance_of_totals(segment_totals(silver), settings)
+
+
+def performance_of_totals(totals: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    return _kpis(totals, settings).drop("naive_ape_total", "naive_n")
 
 
 def verdict(points: Column) -> Column:
@@ -118,6 +122,10 @@ def verdict(points: Column) -> Column:
 
 
 def segment_value_added(silver: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    return value_added_of_totals(segment_totals(silver), settings)
+
+
+def value_added_of_totals(totals: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Naive, best algorithm and planner side by side for each segment, ties kept.
 
     Everything derives from the few rows of the segment totals by windows over the segment,
@@ -132,7 +140,7 @@ def segment_value_added(silver: DataFrame, settings: Settings = Settings()) -> D
     listed = segment.orderBy("algorithme")
     naive, best, dp = F.col("mape_naive"), F.col("mape_best_algo"), F.col("mape_dp")
     return (
-        _kpis(_totals(silver), settings)
+        _kpis(totals, settings)
         .withColumns(
             {
                 "mape_naive": rounded(

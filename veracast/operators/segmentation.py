@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from veracast.config import Settings
 from veracast.functions.months import Anchor, as_column
 from veracast.functions.numeric import ratio, steady
-from veracast.sources.scratch import materialize
+from veracast.sources.scratch import stage
 
 
 def sales_profile(
@@ -37,7 +37,7 @@ def cumulative_revenue(profile: DataFrame) -> DataFrame:
     (revenue, sku), so even a revenue shared by a third of them is spread by the sku; each
     range gets its own running sum; what precedes a range comes from a table with one row per
     range, which is as small as the number of shuffle partitions. Range bounds are sampled, so
-    the ranged rows are materialised before they are read twice. Runs a job.
+    the ranged rows are staged before they are read twice. Runs a job.
     """
     revenue = F.col("ca_total_12m")
     order = [revenue.desc_nulls_last(), F.col("sku_id").asc()]
@@ -45,7 +45,7 @@ def cumulative_revenue(profile: DataFrame) -> DataFrame:
 
     within = Window.partitionBy("_range").orderBy(*order)
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranged = materialize(
+    ranged = stage(
         ranged.withColumns(
             {
                 "_sum": F.sum(revenue).over(running),
@@ -53,7 +53,8 @@ def cumulative_revenue(profile: DataFrame) -> DataFrame:
                     Window.partitionBy("_range").orderBy(revenue.desc_nulls_last())
                 ),
             }
-        )
+        ),
+        "revenue-ranges",
     )
 
     per_range = ranged.groupBy("_range").agg(

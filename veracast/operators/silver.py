@@ -139,6 +139,7 @@ def quality_report(silver: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("ventes_reelles_qty").isNull()).alias("no_actual"),
         F.count_if(F.col("segment_abcxyz").isNull()).alias("no_segment"),
+        F.count_if(F.col("periode").isNull()).alias("no_month"),
     )
 
     def total(name: str) -> Column:
@@ -154,6 +155,7 @@ def quality_report(silver: DataFrame) -> DataFrame:
         total("no_segment").alias("rows_without_segment"),
         share("no_segment").alias("pct_without_segment"),
         F.coalesce(share("no_segment") > 5, F.lit(False)).alias("segment_warning"),
+        total("no_month").alias("rows_without_month"),
         F.count("periode").alias("n_months"),
         F.min("periode").alias("first_month"),
         F.max("periode").alias("last_month"),

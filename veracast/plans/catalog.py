@@ -7,19 +7,21 @@ binary noise, decimals become doubles, run identity and timestamps of the run ar
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, TimestampType
 
 from veracast import measures
+from veracast.context import stamp_raw_load
 from veracast.config import WINDOWS_EXEC, WINDOWS_FULL, Settings
-from veracast.functions.forecasters import holt_winters, last_value, train_mean
+from veracast.functions.forecasters import holt_winters
 from veracast.functions.numeric import rounded
 from veracast.operators import accuracy, alerts, backtest, baselines, clean, horizons
 from veracast.operators import leadtime, segment_kpis, segmentation, silver, summary, value_added
-from veracast.schemas import RAW_ACTUALS
+from veracast.schemas import RAW_ACTUALS, conform
 from veracast.sources import lake, orderbook
 from veracast.sources.scratch import fresh_path, stage
 
@@ -115,7 +117,7 @@ def _segment_perf(spark, sf_dir):
 def _evaluation(spark, sf_dir):
     holdout = backtest.holdout_forecasts(
         orderbook.backtest_sales(spark, sf_dir),
-        {"Forecast_Mean": train_mean, "Forecast_Naive": last_value},
+        {"Forecast_Mean": backtest.mean_column, "Forecast_Naive": backtest.last_column},
         SETTINGS,
         one_row_per_date=True,
     )
@@ -167,6 +169,13 @@ def algo_census(spark, sf_dir):
     )
 
 
+@query
+def month_census(spark, sf_dir):
+    """A month text in no accepted format, for the products whose number ends with 7."""
+    broken = F.when(F.col("sku_id").endswith("7"), F.lit("no month")).otherwise(F.col("periode"))
+    return clean.month_census(_raw_actuals(spark, sf_dir).withColumn("periode", broken))
+
+
 @query
 def dedup_key(spark, sf_dir):
     aligned = clean.align_month(_raw_actuals(spark, sf_dir))
@@ -305,6 +314,32 @@ def leadtime_impact_default(spark, sf_dir):
     return leadtime.leadtime_impact(_performance(spark, sf_dir), None, SETTINGS)
 
 
+@query
+def volatility_fallback(spark, sf_dir):
+    """Without a WAPE column the next preferred metric sizes the stock."""
+    perf = _performance(spark, sf_dir).drop("wape", "smape")
+    return leadtime.leadtime_impact(perf, None, SETTINGS)
+
+
+@query
+def fva_without_algorithms(spark, sf_dir):
+    """Only baselines and the planner: a typed empty table."""
+    perf = _performance(spark, sf_dir)
+    return value_added.forecast_value_added(perf.where("algo_name IN ('naive', 'Expert_DP')"))
+
+
+@query
+def perf_published(spark, sf_dir):
+    """The performance table as it is published: stamped and held to its contract."""
+    month = orderbook.last_month(spark, sf_dir)
+    stamps = {
+        "run_id": F.lit("a run"),
+        "generated_at": F.lit(PROCESSED_AT).cast("timestamp"),
+        "date_max_window": (month if isinstance(month, Column) else F.lit(month)).cast("timestamp"),
+    }
+    return conform(_performance(spark, sf_dir).withColumns(stamps), "performance")
+
+
 @query
 def risk_distribution(spark, sf_dir):
     return leadtime.risk_distribution(_impact(spark, sf_dir))
@@ -312,11 +347,13 @@ def risk_distribution(spark, sf_dir):
 
 @query
 def leadtime_corr(spark, sf_dir):
-    perf = _staged_performance(spark, sf_dir)
     impact = leadtime.leadtime_impact(
-        perf, orderbook.master_lead_time(spark, sf_dir), SETTINGS
+        _performance(spark, sf_dir),
+        orderbook.master_lead_time(spark, sf_dir),
+        SETTINGS,
+        keep_metrics=True,
     )
-    return leadtime.leadtime_correlation(impact, perf)
+    return leadtime.leadtime_correlation(impact)
 
 
 @query
@@ -342,6 +379,18 @@ def run_summary(spark, sf_dir):
     )
 
 
+@query
+def dashboard_spec(spark, sf_dir):
+    """Mandatory keys that the specification lacks, and the windows it names."""
+    perf = _staged_performance(spark, sf_dir)
+    overview = summary.run_summary(
+        perf, value_added.forecast_value_added(perf), alerts.drift_alerts(perf, SETTINGS)
+    )
+    spec = summary.missing_spec_keys(summary.dashboard_spec(overview, SETTINGS))
+    windows = F.get_json_object("spec_json", "$.windows").alias("windows")
+    return spec.select(F.size("missing_keys").alias("n_missing_keys"), windows, "scope")
+
+
 @query
 def report_rows(spark, sf_dir):
     return summary.report_rows(_performance(spark, sf_dir))
@@ -423,7 +472,7 @@ def trend_forecast(spark, sf_dir):
 def backtest_holdout(spark, sf_dir):
     return backtest.holdout_forecasts(
         orderbook.backtest_sales(spark, sf_dir),
-        {"Forecast_Mean": train_mean, "Forecast_Naive": last_value},
+        {"Forecast_Mean": backtest.mean_column, "Forecast_Naive": backtest.last_column},
         SETTINGS,
         one_row_per_date=True,
     )
@@ -460,6 +509,38 @@ def csv_roundtrip(spark, sf_dir):
     return lake.read_csv(spark, path, RAW_ACTUALS)
 
 
+@query
+def lake_roundtrip(spark, sf_dir):
+    path = fresh_path(spark, "lake-roundtrip")
+    lake.write_table(_raw_actuals(spark, sf_dir), path)
+    return lake.read_table(spark, path)
+
+
+@query
+def managed_table(spark, sf_dir):
+    """A managed table bucketed by product, grouped by it."""
+    name = f"raw_actuals_{uuid.uuid4().hex}"
+    lake.save_managed(_raw_actuals(spark, sf_dir), name, bucket_by=(8, "sku_id"))
+    return lake.read_catalog(spark, name).groupBy("sku_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("ventes_reelles_qty").alias("qty")
+    )
+
+
+@query
+def csv_fallback(spark, sf_dir):
+    """CSV where the lake has no table, then loaded into the lake."""
+    copy, table = fresh_path(spark, "csv-copy"), fresh_path(spark, "csv-loaded")
+    lake.write_csv(_raw_actuals(spark, sf_dir), copy)
+    assert lake.read_table(spark, table, csv_fallback=copy, schema=RAW_ACTUALS).columns
+    lake.load_csv_to_lake(spark, copy, table, RAW_ACTUALS)
+    return lake.read_table(spark, table, csv_fallback=copy, schema=RAW_ACTUALS)
+
+
+@query
+def raw_load_audit(spark, sf_dir):
+    return stamp_raw_load(_raw_actuals(spark, sf_dir), PROCESSED_AT, "loader", "monthly load")
+
+
 # -- segment grain and BI measures -------------------------------------------------------
 
 
@@ -548,7 +629,8 @@ def m_alerts(spark, sf_dir):
 @query
 def m_monitoring(spark, sf_dir):
     rows = _staged_silver(spark, sf_dir)
-    return measures.monitoring(rows, segment_kpis.segment_performance(rows, SETTINGS))
+    perf = stage(segment_kpis.segment_performance(rows, SETTINGS), "segment-performance")
+    return measures.monitoring(rows, perf)
 
 
 @query
@@ -564,5 +646,5 @@ def m_benchmark(spark, sf_dir):
 @query
 def m_exec_summary(spark, sf_dir):
     rows = _staged_silver(spark, sf_dir)
-    perf = segment_kpis.segment_performance(rows, SETTINGS)
+    perf = stage(segment_kpis.segment_performance(rows, SETTINGS), "segment-performance")
     return measures.executive_summary(rows, perf, segment_kpis.segment_alerts(perf, SETTINGS))

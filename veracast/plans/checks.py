@@ -7,6 +7,8 @@ only for checking and run at small scale.
 
 from __future__ import annotations
 
+import re
+
 
 def _r(expr: str, digits: int = 6) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
@@ -143,7 +145,7 @@ act AS (
   SELECT sku_id, m AS periode, COALESCE(ventes_reelles_qty, 0) AS ventes_reelles_qty,
          COALESCE(ventes_reelles_valeur, 0) AS ventes_reelles_valeur
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sku_id, m
-          ORDER BY ventes_reelles_qty NULLS FIRST, ventes_reelles_valeur NULLS FIRST) AS rn
+          ORDER BY ventes_reelles_qty NULLS LAST, ventes_reelles_valeur NULLS LAST) AS rn
         FROM raw_act) WHERE rn = 1),
 raw_fc AS (
   SELECT f.k, f.m, {_MONTH_TEXT.replace("strftime(m", "strftime(f.m")} AS periode, f.algo, f.forecast
@@ -403,11 +405,47 @@ def _selects() -> dict[str, str]:
   SELECT COUNT(*) FILTER (WHERE algorithme <> 'Unknown_Model') AS rows_kept,
          COUNT(*) FILTER (WHERE algorithme = 'Unknown_Model') AS rows_rejected
   FROM raw_forecasts""",
+        "month_census": """
+  SELECT COUNT(m) AS rows_with_month, CAST(0 AS BIGINT) AS rows_without_month,
+         COUNT(*) FILTER (WHERE m IS NULL) AS rows_unparseable
+  FROM (SELECT CASE WHEN sku_id LIKE '%7' THEN NULL ELSE m END AS m FROM raw_act)""",
+        "lake_roundtrip": """
+  SELECT sku_id, periode, ventes_reelles_qty,
+         CAST(ventes_reelles_valeur AS DOUBLE) AS ventes_reelles_valeur FROM raw_act""",
+        "managed_table": """
+  SELECT sku_id, COUNT(*) AS n_rows, SUM(ventes_reelles_qty) AS qty FROM raw_act GROUP BY 1""",
+        "csv_fallback": """
+  SELECT sku_id, periode, ventes_reelles_qty,
+         CAST(ventes_reelles_valeur AS DOUBLE) AS ventes_reelles_valeur FROM raw_act""",
+        "raw_load_audit": """
+  SELECT sku_id, periode, ventes_reelles_qty,
+         CAST(ventes_reelles_valeur AS DOUBLE) AS ventes_reelles_valeur,
+         TIMESTAMP '2002-01-31 08:30:00' AS Sys_LoadDate, 'loader' AS Sys_LoadedBy,
+         'monthly load' AS Sys_Reason FROM raw_act""",
+        "perf_published": f"""
+  SELECT {_PERF_COLUMNS}, CAST((SELECT last_m FROM anchor) AS TIMESTAMP) AS date_max_window,
+         'a run' AS run_id, TIMESTAMP '2002-01-31 08:30:00' AS generated_at FROM perf""",
+        "fva_without_algorithms": f"""
+  SELECT product_id, analytical_window_months, {_rows("naive_error_metric", "algo_error_metric",
+         "planner_error_metric", "fva_value")}, fva_flag, n_obs FROM fva WHERE FALSE""",
+        "volatility_fallback": f"""
+  SELECT b.product_id, b.analytical_window_months, 45 AS lead_time_days,
+         'default' AS lead_time_days_source, 'rmse' AS volatility_metric_name,
+         {_r("LEAST(1.0, GREATEST(0.0, COALESCE(b.rmse, 0)))")} AS volatility_metric_value,
+         {_r("45 * LEAST(1.0, GREATEST(0.0, COALESCE(b.rmse, 0)))", 2)} AS safety_stock_days_required,
+         CASE WHEN v < 0.15 THEN 'LOW' WHEN v < 0.25 THEN 'MEDIUM' WHEN v < 0.35 THEN 'HIGH'
+              ELSE 'CRITICAL' END AS risk_severity,
+         v >= 0.25 AS stockout_risk_flag
+  FROM (SELECT *, {_r("LEAST(1.0, GREATEST(0.0, COALESCE(rmse, 0)))", 9)} AS v FROM best_mape) b""",
+        "dashboard_spec": """
+  SELECT CAST(0 AS INTEGER) AS n_missing_keys,
+         '[' || string_agg(w, ',' ORDER BY w) || ']' AS windows, 'global' AS scope
+  FROM (SELECT DISTINCT analytical_window_months AS w FROM perf)""",
         "dedup_key": """
   SELECT sku_id, m AS periode, ventes_reelles_qty,
          CAST(ventes_reelles_valeur AS DOUBLE) AS ventes_reelles_valeur
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sku_id, m
-          ORDER BY ventes_reelles_qty NULLS FIRST, ventes_reelles_valeur NULLS FIRST) AS rn
+          ORDER BY ventes_reelles_qty NULLS LAST, ventes_reelles_valeur NULLS LAST) AS rn
         FROM raw_act) WHERE rn = 1""",
         "fill_defaults": """
   SELECT sku_id, periode, lt_besoins_jours, lt_fabrication_jours,
@@ -539,8 +577,8 @@ def _selects() -> dict[str, str]:
          rows_without_segment,
          {_r("rows_without_segment / n_rows * 100", 1)} AS pct_without_segment,
          {_r("rows_without_segment / n_rows * 100", 1)} > 5 AS segment_warning,
-         n_products, n_months, first_month, last_month
-  FROM (SELECT COUNT(*) AS n_rows,
+         rows_without_month, n_products, n_months, first_month, last_month
+  FROM (SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE periode IS NULL) AS rows_without_month,
                COUNT(*) FILTER (WHERE ventes_reelles_qty IS NULL) AS rows_without_actual,
                COUNT(*) FILTER (WHERE segment_abcxyz IS NULL) AS rows_without_segment,
                COUNT(DISTINCT sku_id) AS n_products, COUNT(DISTINCT periode) AS n_months,
@@ -738,5 +776,15 @@ def _selects() -> dict[str, str]:
 
 def oracle_queries() -> dict[str, str]:
     """SQL per query; the Holt-Winters search has none and is tested on closed-form series."""
-    shared = ",".join([_FEEDS, _GOLD, _SILVER, _SEGMENT, _BACKTEST])
-    return {name: f"WITH {shared}\n{select}" for name, select in _selects().items()}
+    return {name: f"WITH {_shared(select)}\n{select}" for name, select in _selects().items()}
+
+
+def _shared(select: str) -> str:
+    """The groups of shared statements that ``select`` needs, directly or through others."""
+    needed, text = [], select
+    for group in (_BACKTEST, _SEGMENT, _SILVER, _GOLD, _FEEDS):  # later ones build on these
+        names = re.findall(r"(\w+) AS (?=\()", group)
+        if group is _FEEDS or re.search(rf"\b({'|'.join(names)})\b", text):
+            needed.append(group)
+            text += group
+    return ",".join(reversed(needed))

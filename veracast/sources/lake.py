@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from veracast.sources.scratch import fresh_path
-
 LAKE_FORMAT = "parquet"
 OUTPUT_MODES = ("auto", "lake", "local")
+SMALL_TABLES = (
+    "leaderboard", "leadtime_correlation", "dashboard_spec", "reports",
+    "segment_performance", "segment_value_added", "segment_alerts",
+)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -81,18 +83,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> int:
-    """One CSV file, for KPI tables only.
+def write_single_csv(df: DataFrame, path: str, table: str) -> None:
+    """One CSV file, for a table whose rows are bounded by what it describes.
 
-    A single file means a single task, so the rows are first written to the shared folder by
-    all tasks and counted; a table over ``max_rows`` is refused and should use ``write_csv``.
+    A single file means a single task, so the table is named: ``SMALL_TABLES`` have a row per
+    algorithm, segment or window, never per product.
     """
-    staged = fresh_path(df.sparkSession, "single-csv")
-    rows = write_table(df, staged)
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows are too many for one CSV file (limit {max_rows})")
-    write_csv(df.sparkSession.read.schema(df.schema).parquet(staged).coalesce(1), path)
-    return rows
+    if table not in SMALL_TABLES:
+        raise ValueError(f"{table} grows with the catalogue; write_csv writes it by all tasks")
+    write_csv(df.repartition(1), path)
 
 
 def write_output(
