@@ -107,6 +107,9 @@ def lost_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_
         .where(F.col("docs") >= min_docs)
         .select("template", "home")
     )
+    # Written first, so that the join's two sides are plain shuffles: Spark then splits the rows of
+    # a template that very many documents share.
+    recurring = stage(recurring, "recurring-templates")
     elsewhere = F.col("home").isNotNull() & (
         F.col("doc_id").isNull() | (F.col("doc_id") > F.col("home"))
     )
