@@ -36,11 +36,11 @@ from veracast.sources.scratch import stage
 BITS = 64
 #: Fingerprints that one task joins as one pair of trie nodes, and the depth of a split.
 NODE_ROWS, SPLIT_BITS = 100_000, 8
-#: Node pairs followed at once.
-FRONT = 200_000
+#: Node pairs followed at once, and rows that a task joins at once.
+FRONT, STREAM_ROWS = 100_000, 100_000
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_BIT_OF_BYTE = np.array([[b >> i & 1 for i in range(8)] for b in range(256)], dtype=np.int64)
+_BIT_OF_BYTE = np.array([[b >> i & 1 for i in range(8)] for b in range(256)], dtype=float)
 #: Odd factors that turn one hash into those of further, independent fingerprints.
 _FACTORS = np.array([2 * i * 0x9E3779B97F4A7C15 + 1 & (1 << 64) - 1 for i in range(64)], np.uint64)
 
@@ -57,13 +57,15 @@ def _hashes(text: str, shingle: int) -> np.ndarray:
     return np.fromiter(found, dtype=np.uint64, count=len(shingles))
 
 
-def _majority(hashes: np.ndarray) -> int:
-    """The number whose bits are set in over half of ``hashes``."""
-    ones = []
-    for column in hashes.view(np.uint8).reshape(-1, 8).T:  # little-endian bytes
-        ones.append(np.bincount(column, minlength=256) @ _BIT_OF_BYTE)
-    bits = 2 * np.concatenate(ones) > len(hashes)
-    return int(np.packbits(bits, bitorder="little").view("<u8")[0])
+def _majority(hashes: np.ndarray) -> list[int]:
+    """For each row of ``hashes``, the number whose bits are set in over half of its hashes."""
+    rows, n = hashes.shape
+    bytes_of = hashes.view(np.uint8).reshape(rows, n, 8)  # little-endian
+    place = np.arange(8 * rows, dtype=np.int32).reshape(rows, 1, 8) * 256
+    seen = np.bincount((bytes_of + place).ravel(), minlength=8 * 256 * rows)
+    ones = seen.reshape(8 * rows, 256).astype(float) @ _BIT_OF_BYTE  # exact: counts are small
+    bits = (2 * ones > n).reshape(rows, 64)
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel().tolist()
 
 
 def fingerprints_of(text: str, shingle: int, tables: int = 1) -> list[int]:
@@ -71,11 +73,10 @@ def fingerprints_of(text: str, shingle: int, tables: int = 1) -> list[int]:
     hashes = _hashes(text, shingle)
     if not len(hashes):
         return [0] * tables
-    out = [_majority(hashes)]
-    for factor in _FACTORS[1:tables]:
-        mixed = (hashes ^ (hashes >> np.uint64(31))) * factor
-        out.append(_majority(mixed ^ (mixed >> np.uint64(29))))
-    return out
+    factors = _FACTORS[1:tables, None]
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * factors
+    mixed ^= mixed >> np.uint64(29)
+    return _majority(np.vstack([hashes[None], mixed]))
 
 
 def _signed(values: list[int]) -> list[int]:
@@ -177,19 +178,12 @@ def _blocks(budget: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def _top(turned: str, depth: str) -> str:
-    return f"shiftrightunsigned({turned}, {BITS} - {depth})"
-
-
-def _node_pairs(prints: DataFrame, budget: int) -> DataFrame:
-    """Rows (node, trie, depth, side, used, turned): each fingerprint in the node pairs to join.
-
-    ``node`` names a pair of trie nodes; side 0 is a node paired with itself, 1 and 2 are the two
-    of a pair. Every node pair has at most ``NODE_ROWS`` rows.
-    """
+def _tries(prints: DataFrame, budget: int) -> DataFrame:
+    """(kind, depth, turned): each fingerprint once a trie; ``kind`` is the table and the trie."""
+    blocks = _blocks(budget)
     tries = [
         F.struct(
-            F.lit(i).alias("trie"),
+            (F.col("table") * len(blocks) + i).alias("kind"),
             F.lit(width).alias("depth"),
             (
                 F.shiftleft("print", first).bitwiseOR(F.shiftrightunsigned("print", BITS - first))
@@ -197,15 +191,48 @@ def _node_pairs(prints: DataFrame, budget: int) -> DataFrame:
                 else F.col("print")
             ).alias("turned"),
         )
-        for i, (first, width) in enumerate(_blocks(budget))
+        for i, (first, width) in enumerate(blocks)
     ]
-    rows = (
-        prints.select("table", F.explode(F.array(*tries)).alias("t"))
-        .select("table", "t.*", F.lit(0).alias("side"), F.lit(0).alias("used"))
-        .withColumn("node", F.xxhash64("table", "trie", F.expr(_top("turned", "depth"))))
+    return prints.select("table", F.explode(F.array(*tries)).alias("t")).select("t.*")
+
+
+def _top(bits: str) -> Column:
+    """The node that ``turned`` lies in, ``bits`` deep."""
+    return F.expr(f"shiftrightunsigned(turned, {BITS} - {bits})")
+
+
+def _crowded(rows: DataFrame) -> DataFrame | None:
+    """(kind, top) of the nodes with more than ``NODE_ROWS`` fingerprints; None if there are none.
+
+    Nodes are counted one by one only if the few nodes ``SPLIT_BITS`` deep, which hold them, are
+    that large.
+    """
+
+    def large(depth: str) -> DataFrame:
+        counted = rows.groupBy("kind", _top(depth).alias("top")).agg(F.count("*").alias("n"))
+        return counted.where(F.col("n") > NODE_ROWS).select("kind", "top")
+
+    if large(f"least(depth, {SPLIT_BITS})").isEmpty():
+        return None
+    found = stage(large("depth"), "crowded-nodes")
+    return None if found.isEmpty() else found
+
+
+def _split_pairs(rows: DataFrame, budget: int) -> DataFrame:
+    """(kind, depth, used, node, side, turned) of crowded nodes, split until tasks can take them.
+
+    ``node`` names a pair of trie nodes; side 0 is a node paired with itself, 1 and 2 are the two
+    of a pair. Every node pair has at most ``NODE_ROWS`` rows.
+    """
+    rows = rows.select(
+        "kind",
+        "depth",
+        "turned",
+        F.lit(0).alias("side"),
+        F.lit(0).alias("used"),
+        F.xxhash64("kind", _top("depth")).alias("node"),
     )
-    key = ["table", "trie", "depth", "used", "node"]
-    ready = None
+    key, ready = ["kind", "depth", "used", "node"], None
     while True:
         sizes = rows.groupBy(*key).agg(
             F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high")
@@ -248,8 +275,7 @@ def _split(large: DataFrame, budget: int) -> DataFrame:
         F.when(F.col("child") < partner, 1).otherwise(2)
     )
     return pairs.select(
-        "table",
-        "trie",
+        "kind",
         (F.col("depth") + F.col("bits")).alias("depth"),
         "turned",
         side.cast("int").alias("side"),
@@ -260,47 +286,103 @@ def _split(large: DataFrame, budget: int) -> DataFrame:
 
 def _links(prints: DataFrame, budget: int) -> DataFrame:
     """Edges (table, a, b) that connect the fingerprints linked within a node pair."""
-    dealt = _node_pairs(prints, budget).withColumn(
-        "slice", F.xxhash64("table", "trie", "depth", "used", "node")
+    rows = _tries(prints, budget)
+    crowded = _crowded(rows)
+    if crowded is None:
+        return _joined_nodes(rows, budget)
+    marked = rows.withColumn("top", _top("depth"))
+    calm = marked.join(crowded, ["kind", "top"], "left_anti").drop("top")
+    hot = marked.join(crowded, ["kind", "top"], "left_semi").drop("top")
+    return _joined_nodes(calm, budget).unionByName(
+        _joined_pairs(_split_pairs(hot, budget), budget)
     )
-    firsts = [first for first, _ in _blocks(budget)]
-    kind_of = ["table", "trie", "depth", "used"]
-    # Keys order as unsigned numbers.
-    by_key = F.col("turned").bitwiseXOR(F.lit(-(1 << 63)))
-    ordered = dealt.repartition("slice").sortWithinPartitions("slice", "side", by_key)
+
+
+def _streamed(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of about ``STREAM_ROWS`` rows that don't part the rows of a ``key``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < STREAM_ROWS:
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        keys = rows.column(key).to_numpy()
+        other = np.flatnonzero(keys != keys[-1])
+        if len(other):
+            end = int(other[-1]) + 1
+            yield rows.slice(0, end)
+            held = rows.slice(end).to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _edges(kind: int, keys: np.ndarray, front: np.ndarray, depth: int, budget: int):
+    """Each key that links, with its root; as a batch of (table, a, b), or nothing."""
+    blocks = _blocks(budget)
+    root = _roots(len(keys), linked_places(keys, front, depth, budget))
+    more = np.flatnonzero(root != np.arange(len(root)))
+    if len(more):
+        table, trie = divmod(kind, len(blocks))
+        first = blocks[trie][0]
+        plain = _turned(keys, BITS - first if first else 0)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(more), table), pa.int32()),
+                pa.array(plain[more].view(np.int64)),
+                pa.array(plain[root[more]].view(np.int64)),
+            ],
+            ["table", "a", "b"],
+        )
+
+
+_EDGES = "table int, a long, b long"
+#: Orders signed numbers as the unsigned ones with the same bits.
+_UNSIGNED = -(1 << 63)
+
+
+def _joined_nodes(rows: DataFrame, budget: int) -> DataFrame:
+    """Edges within the top nodes of the tries; rows are dealt by node."""
+    order = F.col("turned").bitwiseXOR(F.lit(_UNSIGNED))
+    top = F.xxhash64("kind", _top("depth"))
+    dealt = rows.select("kind", "depth", "turned", top.alias("node"))
+    dealt = dealt.repartition("node").sortWithinPartitions("node", order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def whole(more: pa.RecordBatch | None) -> pa.Table | None:
-            """The node pairs that ``more`` shows to be complete; the last one waits."""
-            if more is not None:
-                held.append(more)
-            if not held or (more is not None and sum(b.num_rows for b in held) < 50_000):
-                return None
-            rows = pa.Table.from_batches(held).combine_chunks()
-            slices = rows.column("slice").to_numpy()
-            end = len(slices)
-            if more is not None:
-                end = int(np.flatnonzero(slices != slices[-1])[-1]) + 1 if (
-                    slices != slices[-1]
-                ).any() else 0
-                if not end:
-                    return None
-            held[:] = rows.slice(end).to_batches() if end < len(slices) else []
-            return rows.slice(0, end)
-
-        def edges(rows: pa.Table | None) -> Iterator[pa.RecordBatch]:
-            if rows is None or not rows.num_rows:
-                return
+        for rows in _streamed(batches, "node"):
+            kinds = rows.column("kind").to_numpy()
+            turned = rows.column("turned").to_numpy().view(np.uint64)
+            depths = rows.column("depth").to_numpy()
+            for kind in np.unique(kinds).tolist():
+                mine = kinds == kind
+                keys, depth = np.unique(turned[mine]), int(depths[mine][0])
+                tops = keys >> np.uint64(BITS - depth)
+                first = np.append(0, np.flatnonzero(tops[1:] != tops[:-1]) + 1)
+                last = np.append(first[1:], len(keys))
+                several = last - first > 1
+                a, b = first[several], last[several]
+                front = np.stack([a, b, a, b, np.zeros_like(a)], 1)
+                yield from _edges(kind, keys, front, depth, budget)
+
+    return in_arrow(dealt, run, _EDGES)
+
+
+def _joined_pairs(pairs: DataFrame, budget: int) -> DataFrame:
+    """Edges within the node pairs of split nodes; rows are dealt by node pair."""
+    order = F.col("turned").bitwiseXOR(F.lit(_UNSIGNED))
+    columns = ["kind", "depth", "used", "node", "side", "turned"]
+    dealt = pairs.select(*columns, F.xxhash64("kind", "depth", "used", "node").alias("slice"))
+    dealt = dealt.repartition("slice").sortWithinPartitions("slice", "side", order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _streamed(batches, "slice"):
             slices = rows.column("slice").to_numpy()
             first = np.append(0, np.flatnonzero(slices[1:] != slices[:-1]) + 1)
             last = np.append(first[1:], len(slices))
             turned = rows.column("turned").to_numpy().view(np.uint64)
             side = rows.column("side").to_numpy()
-            about = np.stack([rows.column(c).to_numpy()[first] for c in kind_of], 1)
-            kinds, of = np.unique(about, axis=0, return_inverse=True)
-            for i, (table, trie, depth, used) in enumerate(kinds.tolist()):
+            about = [rows.column(c).to_numpy()[first] for c in ("kind", "depth", "used")]
+            groups, of = np.unique(np.stack(about, 1), axis=0, return_inverse=True)
+            for i, (kind, depth, used) in enumerate(groups.tolist()):
                 # Node pairs of one kind are joined together, over their sorted distinct keys.
                 mine = np.flatnonzero(of.ravel() == i)
                 spans = list(zip(first[mine].tolist(), last[mine].tolist()))
@@ -312,28 +394,9 @@ def _links(prints: DataFrame, budget: int) -> DataFrame:
                     ends = [left[0], left[-1], right[0], right[-1]]
                     w, x, y, z = np.searchsorted(keys, ends).tolist()
                     front.append((w, x + 1, y, z + 1, used))
-                start = np.array(front, dtype=np.int64)
-                root = _roots(len(keys), linked_places(keys, start, depth, budget))
-                more = np.flatnonzero(root != np.arange(len(root)))
-                if not len(more):
-                    continue
-                plain = _turned(keys, BITS - firsts[trie] if firsts[trie] else 0)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(more), table), pa.int32()),
-                        pa.array(plain[more].view(np.int64)),
-                        pa.array(plain[root[more]].view(np.int64)),
-                    ],
-                    ["table", "a", "b"],
-                )
-
-        for batch in batches:
-            yield from edges(whole(batch))
-        yield from edges(whole(None))
-
-    schema = "table int, a long, b long"
-    used = ordered.select("slice", "table", "trie", "depth", "used", "side", "turned")
-    return in_arrow(used, run, schema)
+                yield from _edges(kind, keys, np.array(front, dtype=np.int64), depth, budget)
+
+    return in_arrow(dealt, run, _EDGES)
 
 
 # -- components --------------------------------------------------------------------------
@@ -406,22 +469,24 @@ def near_duplicates(
         named = classes.withColumn("node", F.element_at("prints", 1)).join(rooted, "node", "left")
         named = named.select("prints", "least", F.coalesce("root", "node").alias("root"))
     else:
-        # Classes meet at the fingerprints they share or that link; both become nodes.
+        # Classes meet at a fingerprint that several have, or at one that links to theirs.
         has = classes.select("class", F.posexplode("prints").alias("table", "print"))
-        shared = has.join(
-            links.select("table", F.col("a").alias("print"), F.col("b").alias("to")),
-            ["table", "print"],
-            "left",
+        owner = has.groupBy("table", "print").agg(
+            F.min("class").alias("owner"), F.count("*").alias("n")
         )
-        owner = has.groupBy("table", "print").agg(F.min("class").alias("owner"))
+        ends = F.array(F.col("a"), F.col("b"))
+        linked = links.select("table", F.explode(ends).alias("print")).distinct()
+        owner = owner.join(linked.withColumn("linked", F.lit(True)), ["table", "print"], "left")
+        owner = stage(owner.where("n > 1 OR linked").drop("n", "linked"), "print-owners")
         at_print = has.join(owner, ["table", "print"]).select(
             F.col("class").alias("a"), F.col("owner").alias("b")
         )
+        from_a = owner.select("table", F.col("print").alias("a"), F.col("owner").alias("from"))
+        from_b = owner.select("table", F.col("print").alias("b"), F.col("owner").alias("to"))
         over_link = (
-            shared.where("to IS NOT NULL")
-            .select("class", "table", F.col("to").alias("print"))
-            .join(owner, ["table", "print"])
-            .select(F.col("class").alias("a"), F.col("owner").alias("b"))
+            links.join(from_a, ["table", "a"])
+            .join(from_b, ["table", "b"])
+            .select(F.col("from").alias("a"), F.col("to").alias("b"))
         )
         rooted = components(at_print.unionByName(over_link))
         named = classes.join(rooted, classes["class"] == rooted["node"], "left")
