@@ -12,6 +12,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from collections.abc import Callable
 from pathlib import Path
@@ -76,6 +77,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="veracast-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from veracast.config import WINDOWS_EXEC
 from veracast.operators import accuracy, horizons, leadtime, segment_kpis, summary
-from veracast.operators import clean
+from veracast.operators import clean, silver
 from veracast.plans import catalog, pipeline
 from veracast.sources import lake
 from veracast.sources.scratch import stage
@@ -140,3 +142,33 @@ def test_segment_tables_read_silver_once(spark, stored, tmp_path, monkeypatch):
     )
     pipeline.run_segment_gold(spark, stored, str(tmp_path))
     assert len(made) == 1
+
+
+def test_silver_shuffles_forecasts_twice(spark, sf_dir):
+    """Without broadcasts: once for their month, once for the segments of their product."""
+    raw = catalog.orderbook.raw_tables(spark, sf_dir)
+    raw = silver.RawTables(
+        *[stage(getattr(raw, f.name), f"raw-{f.name}") for f in dataclasses.fields(raw)]
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(silver.build_silver(raw, catalog.PROCESSED_AT, "plans"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "algorithme" in line)
+    depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-|*"))
+    above, exchanges = depth, 0
+    for line in reversed(lines[:scan]):  # up the tree, over the ancestors only
+        own = len(line) - len(line.lstrip(" :+-|*"))
+        if own < above:
+            above, exchanges = own, exchanges + ("Exchange" in line)
+    assert exchanges == 2
+
+
+def test_folded_forecasts_are_the_clean_ones(spark, sf_dir):
+    raw = catalog.orderbook.raw_tables(spark, sf_dir).forecasts
+    wide = silver.forecasts_by_month(raw).select("sku_id", "periode", F.inline("forecasts"))
+    plain = silver.clean_forecasts(raw).select(*wide.columns)
+    assert wide.exceptAll(plain).isEmpty() and plain.exceptAll(wide).isEmpty()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
@@ -63,16 +63,18 @@ def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    places = {c: f"c{i}" for i, c in enumerate(rest)}
-    ordered = [
+    best = df.groupBy(*keys).agg(F.min(nulls_last(rest)).alias("_row"))
+    return best.select(*[F.col(f"_row.{c}").alias(c) if c in rest else c for c in df.columns])
+
+
+def nulls_last(columns: list[str]) -> Column:
+    """The columns as a struct that compares them left to right, a missing value last."""
+    parts = [
         part
-        for c, place in places.items()
-        for part in (F.col(c).isNull().alias(f"no_{place}"), F.col(c).alias(place))
+        for i, c in enumerate(columns)
+        for part in (F.col(c).isNull().alias(f"_no_{i}"), F.col(c).alias(c))
     ]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_row"))
-    return best.select(
-        *[F.col(f"_row.{places[c]}").alias(c) if c in places else c for c in df.columns]
-    )
+    return F.struct(*parts)
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, float]) -> DataFrame:

@@ -15,6 +15,7 @@ from veracast.operators.clean import (
     align_month,
     fill_defaults,
     known_algorithms,
+    nulls_last,
     one_row_per_key,
 )
 from veracast.operators.segmentation import abcxyz_segments, sales_profile
@@ -49,6 +50,27 @@ def clean_forecasts(raw: DataFrame, settings: Settings = Settings()) -> DataFram
     )
 
 
+def forecasts_by_month(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``clean_forecasts`` as one row per product and month, in ``forecasts``.
+
+    The whitelist is closed, so each algorithm's smallest row is an aggregate of its own. All of
+    them fold before one shuffle, on the key that the other feeds have too.
+    """
+    df = require_columns(raw, column_names(RAW_FORECASTS), "raw forecasts")
+    df = known_algorithms(align_month(df), settings.valid_algorithms)
+    rest = [c for c in column_names(RAW_FORECASTS) if c not in (*MONTH_KEY, "algorithme")]
+
+    def best(algorithm: str) -> Column:
+        row = F.min(F.when(F.col("algorithme") == algorithm, nulls_last(rest)))
+        quantity = F.coalesce(row.getField("forecast_qty"), F.lit(0.0)).alias("forecast_qty")
+        others = [row.getField(c).alias(c) for c in rest if c != "forecast_qty"]
+        kept = F.struct(F.lit(algorithm).alias("algorithme"), quantity, *others)
+        return F.when(row.isNotNull(), kept)
+
+    every = F.array(*[best(a) for a in settings.valid_algorithms])
+    return df.groupBy(*MONTH_KEY).agg(F.array_compact(every).alias("forecasts"))
+
+
 def clean_actuals(raw: DataFrame) -> DataFrame:
     df = require_columns(raw, column_names(RAW_ACTUALS), "raw actuals")
     df = one_row_per_key(align_month(df), MONTH_KEY)
@@ -91,10 +113,11 @@ def build_silver(
 ) -> DataFrame:
     """Clean the four feeds and join them on (sku, month), keeping future forecasts.
 
-    Each feed is one row per key before its join, so no join can fan out and a product with
-    very many raw rows is already folded. The three right sides and the forecasts are all
-    hashed on columns of their own keys; segments join on the product alone, where AQE
-    broadcasts them while they are small and splits skew when they are not. The cleaned
+    Each feed is one row per product and month before the joins, so no join can fan out and a
+    product with very many raw rows is already folded. All four feeds fold on that key and join
+    in the layout the folding leaves; a month's forecasts travel as one row and part at the end.
+    So forecasts are shuffled twice: for their month, and for the segments of their product,
+    which AQE broadcasts while they are small and splits by skew when they are not. The cleaned
     actuals feed both the segments and the join, so they are staged. Runs the staging and the
     segmentation jobs.
     """
@@ -104,7 +127,7 @@ def build_silver(
         "ca_total_12m",
     )
     joined = (
-        clean_forecasts(raw.forecasts, settings)
+        forecasts_by_month(raw.forecasts, settings)
         .join(
             actuals.select(*MONTH_KEY, "ventes_reelles_qty", "ventes_reelles_valeur"),
             MONTH_KEY,
@@ -123,6 +146,8 @@ def build_silver(
             "left",
         )
         .join(segments, "sku_id", "left")
+        .select("*", F.inline("forecasts"))
+        .drop("forecasts")
         .withColumns(gap_columns())
     )
     return stamp_silver(joined, source, processed_at).select(*column_names(SILVER))
