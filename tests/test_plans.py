@@ -16,7 +16,7 @@ from veracast.plans import catalog, pipeline
 from veracast.sources import lake
 from veracast.sources.scratch import stage
 
-PYTHON_ALLOWED = {"backtest_holt_winters"}
+PYTHON_ALLOWED = {"backtest_holt_winters", "backtest_fixed_weights"}
 
 
 def plan(df) -> str:

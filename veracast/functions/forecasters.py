@@ -17,6 +17,8 @@ Forecaster = Callable[[Sequence[np.ndarray], int], np.ndarray]
 WEIGHTS = (0.05, 0.2, 0.4, 0.7)
 TREND_WEIGHTS = (0.0, 0.05, 0.2)
 SEASON_WEIGHTS = (0.05, 0.2, 0.4)
+# Steps from the best point of the grid, along each weight in turn.
+STEPS = (0.1, 0.05, 0.02, 0.01)
 
 
 def train_mean(train: Sequence[np.ndarray], horizon: int) -> np.ndarray:
@@ -43,7 +45,7 @@ def per_series(fit: Callable[[np.ndarray, int], np.ndarray]) -> Forecaster:
 
 
 def _additive(y: np.ndarray, season: int, horizon: int, weights: tuple) -> tuple:
-    """One set of weights on many equally long series: (squared error, forecasts)."""
+    """Many equally long series: (squared error, forecasts). A weight may differ by series."""
     alpha, beta, gamma = weights
     first, second = y[:, :season].mean(axis=1), y[:, season : 2 * season].mean(axis=1)
     slope = (second - first) / season
@@ -66,12 +68,29 @@ def _additive(y: np.ndarray, season: int, horizon: int, weights: tuple) -> tuple
     return error, level[:, None] + slope[:, None] * ahead + cycle[:, slots]
 
 
-def holt_winters(season: int = 12) -> Forecaster:
+def _nudged(weights: np.ndarray, step: float) -> list[np.ndarray]:
+    """Each weight of each series a step up and a step down, within 0 and 1."""
+    moved = []
+    for column in range(weights.shape[1]):
+        for sign in (1, -1):
+            other = weights.copy()
+            other[:, column] = np.clip(other[:, column] + sign * step, 0.0, 1.0)
+            moved.append(other)
+    return moved
+
+
+def holt_winters(
+    season: int = 12, weights: tuple[float, float, float] | None = None
+) -> Forecaster:
     """Additive level, trend and season; a series shorter than two seasons gets its mean.
 
-    Series of equal length are smoothed together as one matrix, so the weight search costs
-    numpy calls per batch and not Python steps per product.
+    Without given ``weights`` each series takes the best of a grid on its train rows, then moves
+    it in ever smaller steps along one weight at a time. Series of equal length are smoothed
+    together as one matrix, so the search costs numpy calls per batch and not Python steps per
+    product.
     """
+    grid = [weights] if weights else list(product(WEIGHTS, TREND_WEIGHTS, SEASON_WEIGHTS))
+    steps = () if weights else STEPS
 
     def run(train: Sequence[np.ndarray], horizon: int) -> np.ndarray:
         out = train_mean(train, horizon)
@@ -80,11 +99,19 @@ def holt_winters(season: int = 12) -> Forecaster:
             rows = np.flatnonzero(lengths == length)
             y = np.stack([train[i] for i in rows]).astype(float)
             best = np.full(len(rows), np.inf)
-            for weights in product(WEIGHTS, TREND_WEIGHTS, SEASON_WEIGHTS):
-                error, forecast = _additive(y, season, horizon, weights)
+            chosen = np.zeros((len(rows), 3))
+
+            def attempt(tried: np.ndarray) -> None:
+                error, forecast = _additive(y, season, horizon, tried.T)
                 better = error < best
-                best[better] = error[better]
+                best[better], chosen[better] = error[better], tried[better]
                 out[rows[better]] = forecast[better]
+
+            for point in grid:
+                attempt(np.tile(point, (len(rows), 1)))
+            for step in steps:
+                for tried in _nudged(chosen, step):
+                    attempt(tried)
         return out
 
     return run

@@ -488,6 +488,18 @@ def backtest_holt_winters(spark, sf_dir):
     )
 
 
+@query
+def backtest_fixed_weights(spark, sf_dir):
+    """The smoothing itself, with given weights instead of a search."""
+    smoothed = holt_winters(SETTINGS.season_months, weights=(0.2, 0.05, 0.2))
+    return backtest.holdout_forecasts(
+        orderbook.backtest_sales(spark, sf_dir),
+        {"Forecast_HoltWinters": smoothed},
+        SETTINGS,
+        one_row_per_date=True,
+    )
+
+
 @query
 def backtest_eval(spark, sf_dir):
     return _evaluation(spark, sf_dir)

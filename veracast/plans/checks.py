@@ -595,6 +595,26 @@ def _selects() -> dict[str, str]:
         "trend_forecast": f"""
   SELECT Material_ID AS sku_id, Sales_Date AS date_month, Actual_Qty AS actual_qty,
          {_rows("forecast_trend")} FROM holdout""",
+        "backtest_fixed_weights": f""",
+series AS (
+  SELECT sku, list(q ORDER BY pos) AS y FROM numbered
+  WHERE pos <= n - 6 AND n - 6 >= 12 GROUP BY 1),
+line AS (
+  SELECT sku, y, (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 AS slope, list_avg(y[1:12]) AS first
+  FROM series WHERE len(y) >= 24),
+smoothed AS (
+  SELECT sku, y, 0 AS t, first - slope * 6.5 AS level, slope,
+         list_transform(range(1, 13), lambda i: y[i] - (first - slope * 6.5 + slope * i)) AS cycle
+  FROM line
+  UNION ALL
+  SELECT sku, y, t + 1, level + slope + 0.2 * r, slope + 0.05 * (0.2 * r),
+         list_transform(cycle, lambda c, i: c + CASE WHEN i = t % 12 + 1 THEN 0.2 * 0.8 * r ELSE 0 END)
+  FROM (SELECT *, y[t + 1] - level - slope - cycle[t % 12 + 1] AS r FROM smoothed WHERE t < len(y))),
+final AS (SELECT * FROM smoothed WHERE t = len(y))
+  SELECT h.Material_ID, h.Sales_Date, h.Actual_Qty,
+         {_r("GREATEST(0, COALESCE(f.level + f.slope * (h.pos - f.t) + f.cycle[(h.pos - 1) % 12 + 1], h.Forecast_Mean))")}
+           AS Forecast_HoltWinters
+  FROM holdout h LEFT JOIN final f ON f.sku = h.Material_ID""",
         "backtest_holdout": f"""
   SELECT Material_ID, Sales_Date, Actual_Qty, {_rows("Forecast_Mean", "Forecast_Naive")}
   FROM holdout""",
@@ -776,7 +796,10 @@ def _selects() -> dict[str, str]:
 
 def oracle_queries() -> dict[str, str]:
     """SQL per query; the Holt-Winters search has none and is tested on closed-form series."""
-    return {name: f"WITH {_shared(select)}\n{select}" for name, select in _selects().items()}
+    return {
+        name: f"WITH {'RECURSIVE ' * select.startswith(',')}{_shared(select)}\n{select}"
+        for name, select in _selects().items()
+    }
 
 
 def _shared(select: str) -> str:
