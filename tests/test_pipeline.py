@@ -10,8 +10,8 @@ import pytest
 from veracast import schemas
 from veracast.config import WINDOWS_FULL, Settings
 from veracast.operators import summary
-from veracast.plans import catalog, pipeline
-from veracast.sources import lake, orderbook, scratch
+from veracast.plans import catalog, orderbook, pipeline
+from veracast.sources import lake, scratch
 
 SILVER = (
     "sku_id string, algorithme string, periode timestamp, ventes_reelles_qty double, "

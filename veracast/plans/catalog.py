@@ -22,7 +22,8 @@ from veracast.functions.numeric import rounded
 from veracast.operators import accuracy, alerts, backtest, baselines, clean, horizons
 from veracast.operators import leadtime, segment_kpis, segmentation, silver, summary, value_added
 from veracast.schemas import RAW_ACTUALS, conform
-from veracast.sources import lake, orderbook
+from veracast.plans import orderbook
+from veracast.sources import lake
 from veracast.sources.scratch import fresh_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,15 +116,16 @@ def _segment_perf(spark, sf_dir):
 
 
 def _evaluation(spark, sf_dir):
+    demand = stage(orderbook.monthly_demand(spark, sf_dir), "demand")
     holdout = backtest.holdout_forecasts(
-        orderbook.backtest_sales(spark, sf_dir),
+        orderbook.backtest_sales(spark, sf_dir, demand),
         {"Forecast_Mean": backtest.mean_column, "Forecast_Naive": backtest.last_column},
         SETTINGS,
         one_row_per_date=True,
     )
     return backtest.evaluate_backtest(
         holdout,
-        orderbook.backtest_planner(spark, sf_dir),
+        orderbook.backtest_planner(spark, sf_dir, demand),
         orderbook.backtest_master(spark, sf_dir),
         model="Forecast_Mean",
         settings=SETTINGS,

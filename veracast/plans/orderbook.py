@@ -208,19 +208,24 @@ def master_lead_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def backtest_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_demand(spark, sf_dir).selectExpr(
+def backtest_sales(
+    spark: SparkSession, sf_dir: str, demand: DataFrame | None = None
+) -> DataFrame:
+    demand = monthly_demand(spark, sf_dir) if demand is None else demand
+    return demand.selectExpr(
         "cast(k as string) AS Material_ID",
         "m AS Sales_Date",
         "cast(qty as double) AS Quantity_Sold",
     )
 
 
-def backtest_planner(spark: SparkSession, sf_dir: str) -> DataFrame:
+def backtest_planner(
+    spark: SparkSession, sf_dir: str, demand: DataFrame | None = None
+) -> DataFrame:
     """System and planner forecasts with their change log, for reviewed months."""
+    demand = monthly_demand(spark, sf_dir) if demand is None else demand
     return (
-        monthly_demand(spark, sf_dir)
-        .filter("n_reviewed > 0")
+        demand.filter("n_reviewed > 0")
         .selectExpr(
             "cast(k as string) AS Material_ID",
             "m AS Sales_Date",
