@@ -12,15 +12,27 @@ from veracast.shipping import ship
 
 #: Documents that a task holds as Python strings at once.
 BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ready_workers(spark: SparkSession) -> None:
+    """This package on the workers, and batches that suit rows with whole texts.
+
+    Spark's default of 10,000 rows a batch holds tens of megabytes of text several times over, in
+    the executor and in its Python workers; another setting is the user's and stays.
+    """
+    ship(spark)
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(2 * BATCH_ROWS))
+
+
 def in_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package on the workers."""
-    ship(df.sparkSession)
+    ready_workers(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -22,8 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veracast.llm.common import in_arrow, labelled, map_batches
-from veracast.shipping import ship
+from veracast.llm.common import in_arrow, labelled, map_batches, ready_workers
 from veracast.sources.scratch import stage
 
 #: Labelled rows to learn from, and tasks that sum the normal equations.
@@ -241,7 +240,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, usable: Column, least: float)
     model = fit(known, labels, "quality", usable)
     if not model:
         return docs
-    ship(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
