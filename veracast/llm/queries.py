@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veracast.llm.common import bucket, table
+from veracast.llm.conversation_repair import damaged, repair_report
 from veracast.llm.credentials import credential_spans
 from veracast.llm.decontamination import contamination
 from veracast.llm.line_templates import drop_recurring_lines
 from veracast.llm.mtree import integer_vectors, top_inner_products
 from veracast.llm.oracles import ORACLE_SQL
 from veracast.llm.packing import packed_sequences
+from veracast.llm.prefix_table import encoded_and_decoded
 from veracast.llm.quality import quality
 from veracast.llm.simhash import hex_fingerprint, near_duplicates
 from veracast.llm.surrogates import replace_entities
@@ -95,6 +97,16 @@ def op10_pii_surrogates(spark, sf_dir):
     return replace_entities(docs, SURROGATE_KEY)
 
 
+def op11_prefix_table(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoded_and_decoded(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_checkpointed_repair(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_report(damaged(conversations), conversations)
+
+
 QUERIES = {
     name: build for name, build in list(globals().items()) if name.startswith("op") and "_" in name
 }
