@@ -11,7 +11,16 @@ from veracast.plans.checks import oracle_queries
 from veracast.sources.scratch import stage
 
 SQL = oracle_queries()
-WITHOUT_SQL = {"backtest_holt_winters"}
+# Their optima have no SQL; tests/test_models.py checks them, and holt_winters_proof has some.
+WITHOUT_SQL = {
+    "backtest_holt_winters",
+    "holt_winters_fit",
+    "ets_fit",
+    "backtest_ets",
+    "arima_orders",
+    "backtest_arima",
+    "backtest_stlf",
+}
 
 
 @pytest.fixture(scope="module")

@@ -11,6 +11,8 @@ from itertools import product
 
 import numpy as np
 
+from veracast.functions.search import bounded_minimum
+
 Forecaster = Callable[[Sequence[np.ndarray], int], np.ndarray]
 
 # Smoothing weights tried for level, trend and season; the best fit on the train rows wins.
@@ -115,3 +117,46 @@ def holt_winters(
         return out
 
     return run
+
+
+#: Where the fit of weights starts from, and decimals of what it reports.
+FIT_AXES = (
+    (0.0, 0.05, 0.2, 0.4, 0.65, 0.9),
+    (0.0, 0.05, 0.2, 0.5, 0.9),
+    (0.0, 0.05, 0.3, 0.6, 0.95),
+)
+FIT_DIGITS = 6
+
+
+def _same_lengths(train: Sequence[np.ndarray]):
+    """(places, matrix) of the series of each length."""
+    lengths = np.array([len(series) for series in train])
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        yield rows, np.stack([train[i] for i in rows]).astype(float)
+
+
+def additive_errors(
+    train: Sequence[np.ndarray], season: int, weights: Sequence[float]
+) -> np.ndarray:
+    """Squared one-step error of each series with the same weights."""
+    out = np.full(len(train), np.nan)
+    for rows, y in _same_lengths(train):
+        tried = np.tile(np.array(weights, dtype=float), (len(y), 1))
+        out[rows] = _additive(y, season, 1, tried.T)[0]
+    return out
+
+
+def fitted_additive(train: Sequence[np.ndarray], season: int) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, squared error) of additive Holt-Winters for series of two seasons or more.
+
+    Weights are searched between 0 and 1 and rounded; the error is that of the rounded ones.
+    """
+    weights, errors = np.zeros((len(train), 3)), np.full(len(train), np.nan)
+    for rows, y in _same_lengths(train):
+        found, _ = bounded_minimum(
+            lambda w: _additive(y, season, 1, w.T)[0], len(y), FIT_AXES, [(0.0, 1.0)] * 3, starts=len(FIT_AXES[0])
+        )
+        weights[rows] = found.round(FIT_DIGITS)
+        errors[rows] = _additive(y, season, 1, weights[rows].T)[0]
+    return weights, errors

