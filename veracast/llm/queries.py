@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from veracast.llm.alignment import alignment
 from veracast.llm.common import bucket, table
 from veracast.llm.conversation_repair import damaged, repair_report
 from veracast.llm.credentials import credential_spans
@@ -107,6 +108,11 @@ def op12_checkpointed_repair(spark, sf_dir):
     return repair_report(damaged(conversations), conversations)
 
 
+def op13_diagonal_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     name: build for name, build in list(globals().items()) if name.startswith("op") and "_" in name
 }

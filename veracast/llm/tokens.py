@@ -38,7 +38,7 @@ class _Cache(dict):
         return ids
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The printable character that byte-level models use for each byte."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     table = {b: chr(b) for b in shown}
@@ -55,7 +55,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.letters = dict(enumerate(_byte_letters()))
+        self.letters = dict(enumerate(byte_letters()))
         made = json.loads(self.tokenizer.to_str())
         before, suffix = made["pre_tokenizer"] or {}, made["model"].get("end_of_word_suffix")
         #: "words": white space is dropped and case folded; "spaced": a blank goes with its word.
