@@ -1,10 +1,17 @@
 """Hierarchical residual packing: documents into as few sequences of bounded length as possible.
 
 A document's ids are cut from its end, so that only its first piece may be shorter than a
-sequence. Full pieces are sequences by themselves. The rest are packed in rounds: each partition
-packs its items best-fit, longest first, and closes the nearly full bins; underfull bins go on as
-items, in an eighth of the partitions, until one partition is left or nothing more comes together.
-Every bin of every round is kept and numbered, so nothing depends on how often a round ran.
+sequence. Pieces are dealt evenly to leaves by their count, not by files or cores, so what comes
+out does not depend on how the documents are stored. Each leaf packs its pieces best-fit, longest
+first; nearly full bins are closed, underfull bins go on as items, in an eighth of the groups, until
+one group is left.
+
+Before each round a histogram of the open bins' sizes (as many rows as a sequence has places) tells
+which of them the smallest open bin doesn't fit any more: they are closed too, so that bins over half
+full don't travel for nothing. A task packs at most ``MOST_ITEMS`` bins; where more stay open than the
+groups before it could hold, the tree ends there: each group has at most one bin left that is no more
+than half full, so at most one sequence a group is lost. Every bin of every round is kept and
+numbered, so nothing depends on how often a round ran.
 
 Pieces are staged with their checksums: texts are read and encoded once and never shuffled, and a
 round moves only (bin, used). Null text counts as empty and still has its end id. Rows that share
@@ -13,6 +20,7 @@ an id are packed each by itself. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +36,9 @@ from veracast.sources.scratch import stage
 
 #: A bin with this few places left isn't offered again.
 NEARLY_FULL = 4
-#: Partitions whose underfull bins one task packs in the next round.
+#: Pieces that a leaf packs, at least where there are so many, and bins of a task of later rounds.
+LEAF_ITEMS, MOST_ITEMS = 50_000, 500_000
+#: Groups whose underfull bins one task packs in the next round.
 FAN_IN = 8
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -109,45 +119,55 @@ def _round(items: DataFrame, number: int, room: int, length: str, names: list[st
     return stage(in_arrow(items.select(*names), run, schema), f"packing-{number}")
 
 
+def _still_open(current: DataFrame, room: int) -> tuple[DataFrame, int]:
+    """Bins (was, length) that another open bin may fit, and how many they are."""
+    open_bins = current.where((F.col("used") > 0) & (F.col("used") < room - NEARLY_FULL))
+    sizes = {r["used"]: r["count"] for r in open_bins.groupBy("used").count().collect()}
+    if sum(sizes.values()) < 2:
+        return open_bins, 0
+    least = min(sizes)
+    # The smallest bin itself needs another one.
+    second = least if sizes[least] > 1 else min(s for s in sizes if s != least)
+    if least + second > room:
+        return open_bins, 0
+    found = sum(n for size, n in sizes.items() if size + least <= room)
+    fitting = open_bins.where(F.col("used") <= room - least)
+    return fitting.select(F.col("bin").alias("was"), F.col("used").alias("length")), found
+
+
 def pack(cut: DataFrame, room: int) -> DataFrame:
     """``cut`` (with length, 1 to ``room``) with sequence_id and offset.
 
     An item's length is its number of places; items keep together.
     """
     cut = stage(cut, "pieces")
-    placed = _round(cut, 0, room, "length", cut.columns)
+    groups = max(1, math.ceil(cut.count() / LEAF_ITEMS))
+    placed = _round(cut.repartition(groups), 0, room, "length", cut.columns)
     moves, current, number = None, placed, 0
-    while True:
-        open_bins = current.where((F.col("used") > 0) & (F.col("used") < room - NEARLY_FULL))
-        items = open_bins.select(F.col("bin").alias("was"), "used").withColumnRenamed(
-            "used", "length"
-        )
-        partitions = items.rdd.getNumPartitions()
-        if partitions <= 1 and number:
+    while groups > 1:
+        items, found = _still_open(current, room)
+        fewer = max(math.ceil(groups / FAN_IN), math.ceil(found / MOST_ITEMS))
+        if not found or fewer >= groups:
             break
-        number += 1
-        fewer = items.coalesce(max(1, partitions // FAN_IN))
-        current = _round(fewer, number, room, "length", ["was", "length"])
+        groups, number = fewer, number + 1
+        current = _round(items.repartition(groups), number, room, "length", ["was", "length"])
         step = current.select("was", F.col("bin").alias("now"), F.col("offset").alias("shift"))
         if moves is None:
             moves = step.withColumnRenamed("was", "bin")
-        else:
-            after = step.select(
-                F.col("was").alias("now"), F.col("now").alias("then"), F.col("shift").alias("more")
-            )
-            moves = stage(
-                moves.join(after, "now", "left").select(
-                    "bin",
-                    F.coalesce("then", "now").alias("now"),
-                    (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift"),
-                ),
-                "moves",
-            )
-        merged = current.agg(
-            F.count("*").alias("items"), F.sum((F.col("used") > 0).cast("int")).alias("bins")
-        ).first()
-        if merged["items"] == 0 or merged["bins"] == merged["items"]:
-            break
+            continue
+        after = step.select(
+            F.col("was").alias("now"), F.col("now").alias("then"), F.col("shift").alias("more")
+        )
+        moves = stage(
+            moves.join(after, "now", "left").select(
+                "bin",
+                F.coalesce("then", "now").alias("now"),
+                (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift"),
+            ),
+            "moves",
+        )
+    if moves is None:
+        return placed.select(*cut.columns, F.col("bin").alias("sequence_id"), "offset")
     return placed.join(moves, "bin", "left").select(
         *cut.columns,
         F.coalesce("now", "bin").alias("sequence_id"),
