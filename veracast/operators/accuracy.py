@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +21,20 @@ PERFORMANCE = (
     *GRAIN, "mape", "wape", "rmse", "mae", "smape", "bias", "tracking_signal", "theils_u", "n_obs",
 )
 
+# Sums that add up over months, and that all KPIs of a window follow from.
+TERMS = {
+    "abs": "sum(abs_error)",
+    "act": "sum(actual_qty)",
+    "sq": "sum(squared_error)",
+    "ape": "sum(ape)",
+    "smape": "sum(smape_element)",
+    "signed": "sum(signed_error)",
+    "n": "count(1)",
+    "n_err": "count(abs_error)",
+    "n_ape": "count(ape)",
+    "n_smape": "count(smape_element)",
+}
+
 
 def error_rows(df: DataFrame) -> DataFrame:
     """Add the error columns to normalised rows; a row-local projection."""
@@ -111,21 +125,18 @@ def performance_all_windows(
         .filter((F.col("_age") >= 0) & (F.col("_age") < longest))
         .repartition("product_id", "algo_name")
     )
-    terms = {
-        "abs": F.sum("abs_error"),
-        "act": F.sum("actual_qty"),
-        "sq": F.sum("squared_error"),
-        "ape": F.sum("ape"),
-        "smape": F.sum("smape_element"),
-        "signed": F.sum("signed_error"),
-        "n": F.count(F.lit(1)),
-        "n_err": F.count("abs_error"),
-        "n_ape": F.count("ape"),
-        "n_smape": F.count("smape_element"),
-    }
     monthly = rows.groupBy("product_id", "algo_name", "_age").agg(
-        *[c.alias(name) for name, c in terms.items()]
+        *[F.expr(total).alias(name) for name, total in TERMS.items()]
     )
+    return performance_of_months(monthly, lengths)
+
+
+def performance_of_months(monthly: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """KPIs of windows of ascending ``lengths`` from one row of ``TERMS`` per month.
+
+    ``_age`` counts a row's months before the newest; ages lie below the longest window.
+    """
+    longest = lengths[-1]
     series = Window.partitionBy("product_id", "algo_name").orderBy("_age")
     so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     until = F.coalesce(F.lead("_age").over(series), F.lit(longest))
@@ -135,7 +146,7 @@ def performance_all_windows(
             "algo_name",
             (F.col("_age") + 1).alias("_from"),
             until.alias("_until"),
-            *[F.sum(name).over(so_far).alias(name) for name in terms],
+            *[F.sum(name).over(so_far).alias(name) for name in TERMS],
         )
         .withColumn("analytical_window_months", F.explode(_within(lengths)))
         .drop("_from", "_until")
@@ -155,9 +166,9 @@ def performance_all_windows(
     )
 
 
-def _within(lengths: list[int]) -> Column:
+def _within(lengths: Sequence[int]) -> Column:
     """The wanted lengths from ``_from`` to ``_until``."""
-    if lengths == list(range(1, lengths[-1] + 1)):
+    if list(lengths) == list(range(1, lengths[-1] + 1)):
         return F.sequence("_from", "_until")
     wanted = F.array(*[F.lit(w).cast("int") for w in lengths])
     return F.filter(wanted, lambda w: w.between(F.col("_from"), F.col("_until")))

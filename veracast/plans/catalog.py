@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, TimestampType
 
-from veracast import measures
+from veracast import contexts, measures
 from veracast.context import stamp_raw_load
 from veracast.config import WINDOWS_EXEC, WINDOWS_FULL, Settings
 from veracast.functions.arima import arima
@@ -23,11 +23,11 @@ from veracast.functions.loess import stlf
 from veracast.functions.numeric import rounded
 from veracast.functions.statespace import ets, fixed_form
 from veracast.operators import accuracy, alerts, backtest, baselines, clean, fits, horizons
-from veracast.operators import leadtime, origins, seasonal, segment_kpis, segmentation, silver
-from veracast.operators import summary, value_added
+from veracast.operators import leadtime, monthly_state, origins, seasonal, segment_kpis
+from veracast.operators import segmentation, silver, summary, value_added
 from veracast.schemas import RAW_ACTUALS, conform
 from veracast.plans import orderbook
-from veracast.sources import lake
+from veracast.sources import lake, quarantine
 from veracast.sources.scratch import fresh_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,6 +250,20 @@ def perf_product_full24(spark, sf_dir):
     )
 
 
+@query
+def perf_incremental(spark, sf_dir):
+    """All windows from stored states: history, a draft of the newest month, then that month again."""
+    rows = stage(orderbook.audit_rows(spark, sf_dir), "audit-rows")
+    anchor = orderbook.last_month(spark, sf_dir)
+    newest = F.col("date_month") == anchor
+    draft = rows.where(newest).withColumn("forecast_qty", F.col("forecast_qty") + 100)
+    path = fresh_path(spark, "month-states")
+    for part in (rows.where(~newest), draft, rows.where(newest)):
+        monthly_state.load_months(part, path)
+    states = monthly_state.stored_states(spark, path)
+    return monthly_state.performance_of_states(states, anchor, WINDOWS_FULL)
+
+
 @query
 def perf_union_windows(spark, sf_dir):
     rows = orderbook.audit_rows(spark, sf_dir)
@@ -639,22 +653,58 @@ def lake_roundtrip(spark, sf_dir):
 
 @query
 def managed_table(spark, sf_dir):
-    """A managed table bucketed by product, grouped by it."""
+    """A managed table bucketed by product, grouped by it; dropped when its result is staged."""
     name = f"raw_actuals_{uuid.uuid4().hex}"
     lake.save_managed(_raw_actuals(spark, sf_dir), name, bucket_by=(8, "sku_id"))
-    return lake.read_catalog(spark, name).groupBy("sku_id").agg(
+    totals = lake.read_catalog(spark, name).groupBy("sku_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("ventes_reelles_qty").alias("qty")
     )
+    try:
+        return stage(totals, "managed-totals")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 @query
 def csv_fallback(spark, sf_dir):
-    """CSV where the lake has no table, then loaded into the lake."""
+    """The CSV copy's rows where the lake has no table, and the lake's once they are loaded."""
     copy, table = fresh_path(spark, "csv-copy"), fresh_path(spark, "csv-loaded")
     lake.write_csv(_raw_actuals(spark, sf_dir), copy)
-    assert lake.read_table(spark, table, csv_fallback=copy, schema=RAW_ACTUALS).columns
+
+    def read(branch):
+        rows = lake.read_table(spark, table, csv_fallback=copy, schema=RAW_ACTUALS)
+        return rows.withColumn("branch", F.lit(branch))
+
+    from_copy = read("copy")
     lake.load_csv_to_lake(spark, copy, table, RAW_ACTUALS)
-    return lake.read_table(spark, table, csv_fallback=copy, schema=RAW_ACTUALS)
+    return from_copy.unionByName(read("lake"))
+
+
+@query
+def csv_quarantine(spark, sf_dir):
+    """Rows with a quantity that is none, or a field too many, per product beside the loaded ones."""
+    raw = _raw_actuals(spark, sf_dir)
+    k = F.col("sku_id").cast("long")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns]
+    fields[2] = F.when(k % 17 == 0, F.lit("n/a")).otherwise(fields[2])
+    line = F.concat_ws(",", *fields, F.when(k % 19 == 0, F.lit("more")))
+    copy = fresh_path(spark, "csv-raw")
+    raw.select(line.alias("value")).write.text(copy)
+    table, bad = fresh_path(spark, "csv-good"), fresh_path(spark, "csv-bad")
+    quarantine.load_csv_checked(
+        spark, copy, table, bad, RAW_ACTUALS, most_rejected=0.5, header=False
+    )
+    good = lake.read_table(spark, table).select(
+        "sku_id", F.lit("loaded").alias("state"), "ventes_reelles_qty"
+    )
+    apart = lake.read_table(spark, bad).select(
+        F.split("row_text", ",")[0].alias("sku_id"),
+        F.col("reason").alias("state"),
+        F.lit(None).cast("double").alias("ventes_reelles_qty"),
+    )
+    return good.unionByName(apart).groupBy("sku_id", "state").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("ventes_reelles_qty").alias("qty")
+    )
 
 
 @query
@@ -729,6 +779,80 @@ def m_mape_by_leadtime(spark, sf_dir):
     return measures.mape_by_lead_time(perf, rows, ["algorithme"], SETTINGS)
 
 
+def _model(spark, sf_dir):
+    """The tables that filters travel between."""
+    rows = _staged_silver(spark, sf_dir)
+    perf = stage(segment_kpis.segment_performance(rows, SETTINGS), "segment-performance")
+    return {
+        "silver": rows,
+        "performance": perf,
+        "fva": segment_kpis.segment_value_added(rows, SETTINGS),
+        "alerts": segment_kpis.segment_alerts(perf, SETTINGS),
+    }
+
+
+def _contexts():
+    late, day = SETTINGS.long_lead_time_days, "lt_total_jours"
+    top = contexts.Context(by=("algorithme",))
+    return {
+        "long lead time": top.where("silver", day, lambda c: c > late),
+        "short lead time": top.where("silver", day, lambda c: c <= late),
+        "stock-out": top.where("silver", "flag_rupture", lambda c: c),
+        "no stock-out": top.where("silver", "flag_rupture", lambda c: ~c),
+        "critical alert": top.where("alerts", "criticite", lambda c: c == "CRITIQUE"),
+        "planner harms class A": top.where("performance", "segment_abc", lambda c: c == "A").where(
+            "fva", "fva_humain_pts", lambda c: c < 0
+        ),
+        "late and drifting": top.where("silver", day, lambda c: c > late).where(
+            "alerts", "type_alerte", lambda c: c == "TRACKING_SIGNAL"
+        ),
+    }
+
+
+@query
+def m_filter_contexts(spark, sf_dir):
+    """The basic measures of the performance table under filters on it and on other tables."""
+    model, out = _model(spark, sf_dir), None
+    for name, context in _contexts().items():
+        found = context.value(model, "performance", measures.basic_kpis).select(
+            F.lit(name).alias("context"), "algorithme", "mape_mean", "mape_weighted", "observations"
+        )
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query
+def m_all_except(spark, sf_dir):
+    """A filtered context's MAPE beside its whole segment's, and the target of its class."""
+    model = _model(spark, sf_dir)
+    dims = ("algorithme", "segment_abc", "segment_abcxyz")
+    context = (
+        contexts.Context(by=dims)
+        .where("silver", "flag_rupture", lambda c: c)
+        .where("performance", "algorithme", lambda c: c != "Expert_DP")
+    )
+
+    def mean(column, name):
+        return lambda rows, by: measures.measure(rows, {name: F.avg(column)}, by)
+
+    out = context.value(model, "performance", mean("mape", "mape_mean"))
+    for kept, column, name in (
+        ("segment_abcxyz", "mape", "mape_segment"),
+        ("segment_abc", "mape_cible", "target"),
+    ):
+        wider = context.all_except("performance", kept)
+        inner = wider.value(model, "performance", mean(column, name))
+        out = contexts.beside(out, dims, inner, wider.by)
+    return out
+
+
+@query
+def m_cube(spark, sf_dir):
+    """The measures of a dashboard for four sets of slicers."""
+    dims = ["algorithme", "segment_abc", "segment_xyz"]
+    return contexts.cube(_segment_perf(spark, sf_dir), dims, [[], dims[:1], dims[1:2], dims])
+
+
 @query
 def m_rupture(spark, sf_dir):
     return measures.rupture_rate(_silver(spark, sf_dir), ["segment_abcxyz"])

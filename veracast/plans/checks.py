@@ -354,6 +354,14 @@ _REPORT_TEXT = """'# Rapport d''audit des prévisions — ' || t || chr(10) || c
   || 'Consulter les alertes et recommandations.' || chr(10)"""
 
 
+def _same(table: str, condition: str) -> str:
+    """Whether the segment of ``g`` has such a row in another table."""
+    return (
+        f"EXISTS (SELECT 1 FROM {table} x WHERE ({condition})"
+        " AND x.segment_abcxyz IS NOT DISTINCT FROM g.segment_abcxyz)"
+    )
+
+
 def _fmt1(expr: str) -> str:
     return f"printf('%.1f', {_r(expr, 1)})"
 
@@ -428,7 +436,15 @@ def _selects() -> dict[str, str]:
   SELECT sku_id, COUNT(*) AS n_rows, SUM(ventes_reelles_qty) AS qty FROM raw_act GROUP BY 1""",
         "csv_fallback": """
   SELECT sku_id, periode, ventes_reelles_qty,
-         CAST(ventes_reelles_valeur AS DOUBLE) AS ventes_reelles_valeur FROM raw_act""",
+         CAST(ventes_reelles_valeur AS DOUBLE) AS ventes_reelles_valeur,
+         UNNEST(['copy', 'lake']) AS branch FROM raw_act""",
+        "csv_quarantine": """
+  SELECT sku_id, state, COUNT(*) AS n_rows,
+         SUM(CASE WHEN state = 'loaded' THEN ventes_reelles_qty END) AS qty
+  FROM (SELECT *, CASE WHEN CAST(sku_id AS BIGINT) % 19 = 0 THEN 'number of fields'
+                       WHEN CAST(sku_id AS BIGINT) % 17 = 0 THEN 'ventes_reelles_qty: double'
+                       ELSE 'loaded' END AS state FROM raw_act)
+  GROUP BY 1, 2""",
         "raw_load_audit": """
   SELECT sku_id, periode, ventes_reelles_qty,
          CAST(ventes_reelles_valeur AS DOUBLE) AS ventes_reelles_valeur,
@@ -478,6 +494,7 @@ def _selects() -> dict[str, str]:
   WHERE date_month <= last_m AND date_month >= last_m - to_months(w - 1)""",
         "perf_product": f"SELECT {_PERF_COLUMNS} FROM perf",
         "perf_union_windows": f"SELECT {_PERF_COLUMNS} FROM perf",
+        "perf_incremental": f"SELECT {_PERF_COLUMNS} FROM ({_perf('full_windows')})",
         "perf_product_full24": f"SELECT {_PERF_COLUMNS} FROM ({_perf('full_windows')})",
         "perf_product_theil": f"""
   SELECT product_id, 'moving_average' AS algo_name, w AS analytical_window_months,
@@ -856,6 +873,49 @@ solved AS (
       AVG(mape) FILTER (WHERE segment_abcxyz IN
         (SELECT segment_abcxyz FROM silver WHERE lt_total_jours <= 90
          AND segment_abcxyz IS NOT NULL)) AS mape_short FROM gs GROUP BY 1))""",
+        "m_filter_contexts": f""",
+told AS (
+  SELECT * FROM (VALUES ('long lead time'), ('short lead time'), ('stock-out'), ('no stock-out'),
+    ('critical alert'), ('planner harms class A'), ('late and drifting')) t(context)),
+joined AS (
+  SELECT context, g.* FROM told, gs g WHERE
+    CASE context
+      WHEN 'long lead time' THEN {_same("silver", "lt_total_jours > 90")}
+      WHEN 'short lead time' THEN {_same("silver", "lt_total_jours <= 90")}
+      WHEN 'stock-out' THEN {_same("silver", "flag_rupture")}
+      WHEN 'no stock-out' THEN {_same("silver", "NOT flag_rupture")}
+      WHEN 'critical alert' THEN {_same("gs_alerts", "criticite = 'CRITIQUE'")}
+      WHEN 'planner harms class A' THEN
+        g.segment_abc = 'A' AND {_same("gs_fva", "fva_humain_pts < 0")}
+      ELSE {_same("silver", "lt_total_jours > 90")}
+        AND {_same("gs_alerts", "type_alerte = 'TRACKING_SIGNAL'")} END)
+  SELECT context, algorithme, {_r("AVG(mape)")} AS mape_mean,
+         {_r("SUM(mape * nb_observations) / NULLIF(SUM(nb_observations), 0)")} AS mape_weighted,
+         CAST(SUM(nb_observations) AS BIGINT) AS observations
+  FROM joined GROUP BY 1, 2""",
+        "m_all_except": f""",
+base AS (SELECT * FROM gs g WHERE {_same("silver", "flag_rupture")}),
+wide AS (SELECT segment_abcxyz, AVG(mape) AS v FROM base GROUP BY 1),
+class AS (SELECT segment_abc, AVG(mape_cible) AS v FROM base GROUP BY 1)
+  SELECT b.algorithme, b.segment_abc, b.segment_abcxyz, {_r("AVG(b.mape)")} AS mape_mean,
+         {_r("ANY_VALUE(w.v)")} AS mape_segment, {_r("ANY_VALUE(c.v)")} AS target
+  FROM base b LEFT JOIN wide w ON w.segment_abcxyz IS NOT DISTINCT FROM b.segment_abcxyz
+  LEFT JOIN class c ON c.segment_abc IS NOT DISTINCT FROM b.segment_abc
+  WHERE b.algorithme <> 'Expert_DP' GROUP BY 1, 2, 3""",
+        "m_cube": f"""
+  SELECT concat_ws(',', CASE WHEN GROUPING(algorithme) = 0 THEN 'algorithme' END,
+           CASE WHEN GROUPING(segment_abc) = 0 THEN 'segment_abc' END,
+           CASE WHEN GROUPING(segment_xyz) = 0 THEN 'segment_xyz' END) AS context,
+         algorithme, segment_abc, segment_xyz, {_r("AVG(mape)")} AS mape_mean,
+         {_r("SUM(mape * nb_observations) / NULLIF(SUM(nb_observations), 0)")} AS mape_weighted,
+         {_r("AVG(wape)")} AS wape_mean, {_r("AVG(mae)")} AS mae_mean, {_r("AVG(rmse)")} AS rmse_mean,
+         {_r("AVG(biais_pct)")} AS bias_mean, {_r("AVG(theil_u)")} AS theil_u_mean,
+         CAST(SUM(nb_observations) AS BIGINT) AS observations,
+         COUNT(*) FILTER (WHERE flag_derive) AS n_drifts,
+         {_r("COUNT(*) FILTER (WHERE flag_derive) * 100.0 / COUNT(*)")} AS drift_rate_pct,
+         {_r("COUNT(*) FILTER (WHERE theil_u < 1) * 100.0 / COUNT(*)")} AS pct_better_than_naive,
+         (list(algorithme ORDER BY mape, algorithme) FILTER (WHERE mape IS NOT NULL))[1] AS best_algorithm
+  FROM gs GROUP BY GROUPING SETS ((), (algorithme), (segment_abc), (algorithme, segment_abc, segment_xyz))""",
         "m_rupture": f"""
   SELECT segment_abcxyz, {_r("COALESCE(SUM(nb_ruptures) / (COUNT(*) * 30), 0) * 100")}
            AS rupture_rate_pct FROM silver GROUP BY 1""",
