@@ -105,20 +105,27 @@ def plain_rows(rows):
         )
 
 
-@given(st.one_of(TRICKY, st.text(max_size=80)))
+@given(st.lists(st.one_of(st.none(), TRICKY, st.text(max_size=80)), min_size=1, max_size=4))
 @settings(max_examples=300, deadline=None)
-def test_documents(text):
-    n_a, n_b, n_groups, n_links, digest, pairs, times = ALIGNER.document(text)
-    (want,) = plain_rows([(0, text)])
-    assert (n_a, n_b, n_groups, n_links, digest) == (*want[1:5], want[-1])
-    links = Counter((x, y) for of_a, of_b in plain(text)[2] for x in of_a for y in of_b)
-    assert {divmod(p, ALIGNER.width): n for p, n in zip(pairs.tolist(), times.tolist())} == links
+def test_batches_of_documents(texts):
+    *sizes, digests, (starts, pairs, times) = ALIGNER.batch(texts)
+    for i, text in enumerate(texts):
+        (want,) = plain_rows([(0, text)])
+        assert [int(s[i]) for s in sizes] == list(want[1:5]) and digests[i] == want[-1]
+        links = Counter((x, y) for of_a, of_b in plain(text)[2] for x in of_a for y in of_b)
+        own = slice(starts[i], starts[i + 1])
+        assert {divmod(p, ALIGNER.width): n for p, n in zip(pairs[own].tolist(), times[own].tolist())} == links
 
 
 def test_large_groups_are_linked_by_distinct_ids():
-    a, b = np.array([5] * 90 + [6] * 20), np.array([3] * 70)
-    pairs, times = ALIGNER.links(a, b, [], [(0, 110, 0, 70)])
+    a, b = np.array([7] + [5] * 90 + [6] * 20), np.array([3] * 71)
+    one = np.array
+    starts, pairs, times = ALIGNER._pairs(
+        a, b, one([0, 1]), one([1, 110]), one([0, 1]), one([1, 70]), one([0, 1]), 2
+    )
+    assert starts.tolist() == [0, 1, 3]
     assert dict(zip(pairs.tolist(), times.tolist())) == {
+        7 * ALIGNER.width + 3: 1,
         5 * ALIGNER.width + 3: 6300,
         6 * ALIGNER.width + 3: 1400,
     }

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from veracast.llm import prefix_table, queries
+from veracast.llm import prefix_table, queries, tokens
 from veracast.llm.prefix_table import Merges, cuts
 from veracast.llm.tokens import tokenizer_path
 
@@ -71,11 +71,11 @@ def test_cuts_refuse_pieces_across_blanks():
 
 def test_recent_values_return(monkeypatch):
     made = []
-    kept = prefix_table._Recent(lambda key: made.append(key) or key, 4)
+    kept = tokens.Recent(lambda key: made.append(key) or key, 4)
     for key in "aabacadaeafaga":
         assert kept[key] == key
     assert made.count("a") == 1 and len(kept) <= 2
-    long = "x" * (prefix_table.CACHE_CHARS + 1)
+    long = "x" * (tokens.CACHE_CHARS + 1)
     assert kept[long] == long and long not in kept
 
 

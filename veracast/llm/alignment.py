@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,62 +34,59 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from veracast.llm.common import map_batches
-from veracast.llm.prefix_table import prefix_table
-from veracast.llm.tokens import byte_letters, encoder
+from veracast.llm.prefix_table import BLANK, prefix_table
+from veracast.llm.tokens import OTHER_SPACE, Recent, byte_letters, encoder
 from veracast.sources.scratch import stage
 
 #: Pairs whose counts are broadcast: about 10 MB.
 BROADCAST_PAIRS = 200_000
-#: Tokens of a group, as a product of both sides, that are linked one by one.
-SMALL_GROUP = 4_096
+#: Links of a group that are made one by one.
+SMALL_GROUP = 256
+#: Units of text whose tokens a worker keeps.
+UNIT_LIMIT = 300_000
+#: White space that isn't cut as both tokenizers do.
+RUNS = ("  ", " \n", "\n ", "\n\n")
 
 #: A run of one-to-one groups from tokens i and j on, or one group of tokens [i, x) and [j, y).
 Group = tuple[int, int, int, int]
 
 
-def _equal_run(a: list[int], b: list[int], i: int, j: int) -> int:
-    """How many ends from a[i] and b[j] on are equal in turn."""
-    known, step = 0, 1
-    most = min(len(a) - i, len(b) - j)
-    while known < most:
-        reach = min(step, most - known)
-        p, q = i + known, j + known
-        if a[p : p + reach] != b[q : q + reach]:
-            break
-        known += reach
-        step *= 2
-    else:
-        return known
-    # They differ within ``reach`` places.
-    while reach > 1:
-        half = reach // 2
-        p, q = i + known, j + known
-        if a[p : p + half] == b[q : q + half]:
-            known += half
-            reach -= half
-        else:
-            reach = half
-    return known
-
-
 def aligned(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]], list[Group]]:
     """Runs (i, j, groups) and irregular groups (i, x, j, y) of two arrays of ends with one last value."""
     runs, groups = [], []
     i = j = 0
-    while i < len(a):
+    n = len(a)
+    while i < n:
         if a[i] == b[j]:
-            n = _equal_run(a, b, i, j)
-            runs.append((i, j, n))
-            i, j = i + n, j + n
-            continue
+            # At this shift, slices of twice the length each, until they differ.
+            known, step = 1, 1
+            p, q = i + 1, j + 1
+            while p < n and a[p : p + step] == b[q : q + step]:
+                known += step
+                p, q, step = p + step, q + step, 2 * step
+            # Then halves, to where they do.
+            while step > 1 and p < n:
+                step //= 2
+                if a[p : p + step] == b[q : q + step]:
+                    known += step
+                    p, q = p + step, q + step
+            known = min(known, n - i)
+            runs.append((i, j, known))
+            i, j = i + known, j + known
+            if i >= n:
+                break
         x, y = i, j
-        while a[x] != b[y]:
-            if a[x] < b[y]:
+        end_a, end_b = a[x], b[y]
+        while end_a != end_b:
+            if end_a < end_b:
                 x += 1
+                end_a = a[x]
             else:
                 y += 1
-        groups.append((i, x + 1, j, y + 1))
-        i, j = x + 1, y + 1
+                end_b = b[y]
+        if (x, y) != (i, j):
+            groups.append((i, x + 1, j, y + 1))
+            i, j = x + 1, y + 1
     return runs, groups
 
 
@@ -103,7 +101,7 @@ def _spellings(model_a: str, model_b: str) -> tuple[list[bytes], list[bytes]]:
     table = prefix_table(model_b)
     values = {i: b for b, i in enumerate(table.bytes)}
     second = [
-        bytes([values[i]]) if i in values else piece.replace("▁", " ").encode()
+        bytes([values[i]]) if i in values else piece.replace(BLANK, " ").encode()
         for i, piece in enumerate(table.pieces)
     ]
     return first, second
@@ -113,81 +111,128 @@ class Aligner:
     """Tokens, groups and linked pairs of texts."""
 
     def __init__(self, model_a: str, model_b: str):
-        self.encode_a, self.encode_b = encoder(model_a).encode, prefix_table(model_b).encode
+        self.encoder, self.table = encoder(model_a), prefix_table(model_b)
         self.bytes_a, self.bytes_b = _spellings(model_a, model_b)
         self.sizes_a, self.sizes_b = (
             np.array([len(s) for s in spelt], dtype=np.int64) for spelt in (self.bytes_a, self.bytes_b)
         )
         #: A pair (a, b) is the number a * width + b.
         self.width = len(self.bytes_b)
-        self.shown = [str(i) for i in range(max(len(self.bytes_a), self.width))]
-
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
+        self.shown = [f"{i}{mark}" for i in range(max(len(self.bytes_a), self.width)) for mark in ",|;"]
+        #: Both cut a text before single blanks, around line feeds and between a word and marks, so
+        #: these units are encoded one by one.
+        self.by_unit = self.encoder.kind == "spaced" and "\n" not in "".join(self.table.merges.scores)
+        if not self.encoder.kind:
+            raise ValueError("the first tokenizer has to be a byte-level one that changes nothing")
+        self.units = Recent(self._unit, UNIT_LIMIT)
+
+    def _spelt_by_b(self, spelt: str, ids: list[int]) -> bool:
+        """Whether the second's tokens spell the text; the first's always do, byte by byte."""
+        return b"".join(map(self.bytes_b.__getitem__, ids)) == spelt.encode()
+
+    def _unit(self, unit: str) -> tuple[bytes, bytes] | None:
+        """Tokens of a part of a text, its blank written as U+2581."""
+        library, spelt = self.table.library, unit.replace(BLANK, " ")
+        if unit[0] == BLANK:  # the library puts it there
+            ids = library.encode(unit[1:])
+        else:  # after a line feed, which no piece holds, as if in mid-text
+            ids = library.encode("\n" + unit)[2:]
+        if not self._spelt_by_b(spelt, ids):
+            return None
+        return self.encoder.piece(spelt), array("I", ids).tobytes()
+
+    def tokens(self, text: str | None) -> tuple[bytes, bytes]:
+        """Ids of both as little-endian unsigned 32-bit numbers; none if one doesn't spell the text."""
         if not text:
-            return [], []
-        ids_a = np.frombuffer(self.encode_a(" " + text), "<u4").tolist()
-        ids_b = self.encode_b(text)
-        spelt = b" " + text.encode()
-        for ids, spellings in ((ids_a, self.bytes_a), (ids_b, self.bytes_b)):
-            if b"".join(map(spellings.__getitem__, ids)) != spelt:
-                return [], []
-        return ids_a, ids_b
-
-    def listed(self, ids_a, ids_b, runs, groups) -> str:
-        """The groups as text, in order."""
-        shown_a, shown_b = ([self.shown[i] for i in ids] for ids in (ids_a, ids_b))
-        out = [
-            (i, ";".join(map("|".join, zip(shown_a[i : i + n], shown_b[j : j + n])))) for i, j, n in runs
-        ]
-        out += [
-            (i, f"{','.join(shown_a[i:x])}|{','.join(shown_b[j:y])}") for i, x, j, y in groups
-        ]
-        out.sort()
-        return ";".join([text for _, text in out])
-
-    def links(self, a: np.ndarray, b: np.ndarray, runs, groups) -> tuple[np.ndarray, np.ndarray]:
-        """Linked pairs, and how often each one is; a pair may come more than once."""
-        out, times = [], []
+            return b"", b""
+        spelt = " " + text
+        whole = not self.by_unit or BLANK in text or text[-1] in " \n" or any(run in spelt for run in RUNS)
+        if whole or OTHER_SPACE.search(text):
+            ids = self.table.library.encode(text)
+            if not self._spelt_by_b(spelt, ids):
+                return b"", b""
+            return self.encoder.encode(spelt), np.array(ids, "<u4").tobytes()
+        found = list(map(self.units.__getitem__, self.table.cuts.findall(spelt.replace(" ", BLANK))))
+        if None in found:
+            return b"", b""
+        of_a, of_b = zip(*found)
+        return b"".join(of_a), b"".join(of_b)
+
+    def batch(self, texts: list[str | None]):
+        """Per text: n_a, n_b, n_groups, n_links, digests, and (starts, pairs, times) of distinct pairs.
+
+        The texts' arrays are one after the other: a text ends with an end of both, so runs may
+        go on from one text into the next.
+        """
+        of_a, of_b = zip(*map(self.tokens, texts))
+        a, b = (np.frombuffer(b"".join(ids), "<u4").astype(np.int64) for ids in (of_a, of_b))
+        from_a, from_b = (np.cumsum([0, *(len(ids) // 4 for ids in of)]) for of in (of_a, of_b))
+        runs, groups = aligned(self.sizes_a[a].cumsum().tolist(), self.sizes_b[b].cumsum().tolist())
+        last_a, last_b = self._last_tokens(len(a), len(b), runs, groups)
+        ends_a, ends_b = np.flatnonzero(last_a), np.flatnonzero(last_b)
+        starts_a, starts_b = (np.r_[0, ends[:-1] + 1][: len(ends)] for ends in (ends_a, ends_b))
+        n_a, n_b = ends_a - starts_a + 1, ends_b - starts_b + 1
+        from_group = np.searchsorted(ends_a, from_a)
+        n_links = np.diff(np.r_[0, (n_a * n_b).cumsum()][from_group])
+        digests = self._digests(a, b, last_a, last_b, ends_a, starts_b, from_a + from_b)
+        doc = np.repeat(np.arange(len(texts)), np.diff(from_group))
+        distinct = self._pairs(a, b, starts_a, n_a, starts_b, n_b, doc, len(texts))
+        return np.diff(from_a), np.diff(from_b), np.diff(from_group), n_links, digests, distinct
+
+    @staticmethod
+    def _last_tokens(size_a: int, size_b: int, runs, groups) -> tuple[np.ndarray, np.ndarray]:
+        """Which tokens of both are the last of their group."""
+        last_a, last_b = np.zeros(size_a, bool), np.zeros(size_b, bool)
         if runs:
             i, j, n = np.array(runs, dtype=np.int64).T
             places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            out.append(a[np.repeat(i, n) + places] * self.width + b[np.repeat(j, n) + places])
-        small = [g for g in groups if (g[1] - g[0]) * (g[3] - g[2]) <= SMALL_GROUP]
-        if small:
-            i, x, j, y = np.array(small, dtype=np.int64).T
-            across, n = y - j, (x - i) * (y - j)
-            places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            across = np.repeat(across, n)
-            out.append(
-                a[np.repeat(i, n) + places // across] * self.width + b[np.repeat(j, n) + places % across]
-            )
-        times = [np.ones(len(part), dtype=np.int64) for part in out]
-        for i, x, j, y in groups:
-            if (x - i) * (y - j) > SMALL_GROUP:
-                of_a, n_a = np.unique(a[i:x], return_counts=True)
-                of_b, n_b = np.unique(b[j:y], return_counts=True)
-                out.append((of_a[:, None] * self.width + of_b).ravel())
-                times.append((n_a[:, None] * n_b).ravel())
-        if not out:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(out), np.concatenate(times)
-
-    def document(self, text: str | None) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
-        """n_a, n_b, n_groups, n_links, the groups' digest, distinct pairs and their times."""
-        ids_a, ids_b = self.tokens(text)
-        a, b = np.array(ids_a, dtype=np.int64), np.array(ids_b, dtype=np.int64)
-        if not ids_a:
-            return 0, 0, 0, 0, "", a, b
-        ends = self.sizes_a[a].cumsum().tolist(), self.sizes_b[b].cumsum().tolist()
-        runs, groups = aligned(*ends)
-        digest = hashlib.sha256(self.listed(ids_a, ids_b, runs, groups).encode()).hexdigest()
-        pairs, times = self.links(a, b, runs, groups)
-        order = np.argsort(pairs)
-        pairs, times = pairs[order], times[order]
-        firsts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
-        times = np.add.reduceat(times, firsts)
-        n_groups = sum(n for *_, n in runs) + len(groups)
-        return len(ids_a), len(ids_b), n_groups, int(times.sum()), digest, pairs[firsts], times
+            last_a[np.repeat(i, n) + places] = True
+            last_b[np.repeat(j, n) + places] = True
+        if groups:
+            _, x, _, y = np.array(groups, dtype=np.int64).T
+            last_a[x - 1] = True
+            last_b[y - 1] = True
+        return last_a, last_b
+
+    def _digests(self, a, b, last_a, last_b, ends_a, starts_b, bounds) -> list[str]:
+        """Of the groups as text: each id with the mark after it, a group's first ids before its second."""
+        codes = np.empty(len(a) + len(b), dtype=np.int64)
+        group_a, group_b = last_a.cumsum() - last_a, last_b.cumsum() - last_b
+        codes[np.arange(len(a)) + starts_b[group_a]] = 3 * a + last_a
+        codes[np.arange(len(b)) + ends_a[group_b] + 1] = 3 * b + 2 * last_b
+        told = list(map(self.shown.__getitem__, codes.tolist()))
+        out = []
+        for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            text = "".join(told[first:last])[:-1]
+            out.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
+        return out
+
+    def _pairs(self, a, b, starts_a, n_a, starts_b, n_b, doc, n_docs: int):
+        """(starts, pairs, times): each document's distinct linked pairs and how often they are linked."""
+        space = len(self.bytes_a) * self.width
+        small = n_a * n_b <= SMALL_GROUP
+        n = (n_a * n_b)[small]
+        places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        across = np.repeat(n_b[small], n)
+        at_a = np.repeat(starts_a[small], n) + places // across
+        at_b = np.repeat(starts_b[small], n) + places % across
+        keys = np.sort(np.repeat(doc[small], n) * space + a[at_a] * self.width + b[at_b])
+        firsts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else keys
+        keys, times = keys[firsts], np.diff(np.r_[firsts, len(keys)])
+        if not small.all():
+            more, more_times = [keys], [times]
+            for g in np.flatnonzero(~small).tolist():
+                of_a, times_a = np.unique(a[starts_a[g] : starts_a[g] + n_a[g]], return_counts=True)
+                of_b, times_b = np.unique(b[starts_b[g] : starts_b[g] + n_b[g]], return_counts=True)
+                more.append((doc[g] * space + of_a[:, None] * self.width + of_b).ravel())
+                more_times.append((times_a[:, None] * times_b).ravel())
+            keys, times = np.concatenate(more), np.concatenate(more_times)
+            order = np.argsort(keys, kind="stable")
+            keys, times = keys[order], times[order]
+            firsts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            keys, times = keys[firsts], np.add.reduceat(times, firsts)
+        starts = np.searchsorted(keys, np.arange(n_docs + 1) * space)
+        return starts, keys % space, times
 
 
 @functools.lru_cache(maxsize=2)
@@ -204,20 +249,19 @@ def aligned_documents(docs: DataFrame, model_a: str, model_b: str) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): its number, sizes, groups, distinct linked pairs and their times."""
 
     def build():
-        work_out = aligner(model_a, model_b).document
-
-        def lists(parts: tuple[np.ndarray, ...]) -> pa.Array:
-            ends = np.cumsum([0, *map(len, parts)])
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts)))
+        found = aligner(model_a, model_b)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            *plain, pairs, times = zip(*map(work_out, batch.column(2).to_pylist()))
-            kinds = [pa.int64()] * 4 + [pa.string()]
-            columns = [pa.array(c, k) for c, k in zip(plain, kinds)]
-            names = [c.split()[0] for c in _ALIGNED.split(", ")]
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *columns, lists(pairs), lists(times)], names
-            )
+            *sizes, digests, (starts, pairs, times) = found.batch(batch.column(2).to_pylist())
+            starts = pa.array(starts, pa.int32())
+            columns = [
+                batch.column(0),
+                batch.column(1),
+                *[pa.array(c, pa.int64()) for c in sizes],
+                pa.array(digests, pa.string()),
+                *[pa.ListArray.from_arrays(starts, pa.array(c, pa.int64())) for c in (pairs, times)],
+            ]
+            return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _ALIGNED.split(", ")])
 
         return work
 

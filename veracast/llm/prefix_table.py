@@ -32,12 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracast.llm.common import map_batches
+from veracast.llm.tokens import Recent
 
-#: Parts of texts whose ids a worker keeps, each of at most so many characters: about 150 MB.
-CACHE_LIMIT, CACHE_CHARS = 300_000, 48
+#: Parts of texts whose ids a worker keeps: about 150 MB.
+CACHE_LIMIT = 300_000
 #: Pairs of tokens whose compatibility a worker keeps.
 PAIR_LIMIT = 400_000
-_BLANK = "▁"
+BLANK = "▁"
 _LETTERS = "A-Za-z0-9À-ÖØ-öø-ɏ"
 
 
@@ -97,33 +98,14 @@ def cuts(pieces: set[str]) -> re.Pattern[str]:
     Marks are what follows a letter or digit in no piece. A line feed is a part if no piece has one.
     """
     pairs = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
-    if any(y == _BLANK != x for x, y in pairs):
+    if any(y == BLANK != x for x, y in pairs):
         raise ValueError("pieces with a blank after another character aren't supported")
     letter = re.compile(f"[{_LETTERS}]")
     after = {y for x, y in pairs if letter.match(x)}
     marks = "".join(re.escape(c) for c in map(chr, range(128)) if not c.isalnum() and c not in after)
     feed = "" if any("\n" in p for p in pieces) else "\n"
-    parts = [f"{_BLANK}*[{_LETTERS}]+(?=[{marks}{_BLANK}]|\\Z)", f"{_BLANK}*[^{_BLANK}{feed}]+"]
-    return re.compile("|".join([*parts, *feed, f"{_BLANK}+"]))
-
-
-class _Recent(dict):
-    """Values by short keys, worked out when first asked for; keys unused for long are left out."""
-
-    def __init__(self, find, limit: int):
-        self.find, self.half, self.older = find, limit // 2, {}
-
-    def __missing__(self, key: str):
-        value = self.older.get(key)
-        if value is None:
-            value = self.find(key)
-            if len(key) > CACHE_CHARS:
-                return value
-        if len(self) >= self.half:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+    parts = [f"{BLANK}*[{_LETTERS}]+(?=[{marks}{BLANK}]|\\Z)", f"{BLANK}*[^{BLANK}{feed}]+"]
+    return re.compile("|".join([*parts, *feed, f"{BLANK}+"]))
 
 
 class PrefixTable:
@@ -155,7 +137,7 @@ class PrefixTable:
         self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.pairs: dict[int, bool] = {}
         self.cuts = cuts(set(self.merges.scores))
-        self.parts = _Recent(self._part, CACHE_LIMIT)
+        self.parts = Recent(self.part, CACHE_LIMIT)
 
     def _fits(self, left: int, right: int) -> bool:
         pair = left * len(self.pieces) + right
@@ -185,7 +167,7 @@ class PrefixTable:
             last[end + 1], filled = token, end
         return last
 
-    def _part(self, text: str) -> tuple[int, ...]:
+    def part(self, text: str) -> tuple[int, ...]:
         last, out, end = self.last_tokens(text), [], len(text)
         while end:
             token = last[end]
@@ -201,7 +183,7 @@ class PrefixTable:
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        whole = _BLANK + text.replace(" ", _BLANK)
+        whole = BLANK + text.replace(" ", BLANK)
         return list(chain.from_iterable(map(self.parts.__getitem__, self.cuts.findall(whole))))
 
     def decode(self, ids: list[int]) -> str:

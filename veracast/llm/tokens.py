@@ -13,29 +13,37 @@ import re
 
 import numpy as np
 
-#: Pieces, and words, kept by a worker process; beyond it a cache starts anew.
-CACHE_LIMIT = 400_000
+#: Pieces, and words, kept by a worker process, each of at most so many characters.
+CACHE_LIMIT, CACHE_CHARS = 400_000, 48
 
 _SPACED = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: White space other than blank and line feed: such texts are encoded as they are.
-_OTHER_SPACE = re.compile(
+OTHER_SPACE = re.compile(
     "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0 ᠎ -​    　﻿\x00]"
 )
 #: At most one blank, a word of Latin-1 letters, then ASCII punctuation.
 _PLAIN = re.compile(r"([ \n]?)([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
-class _Cache(dict):
-    """A piece's ids, worked out when it is first asked for."""
+class Recent(dict):
+    """Values by short keys, worked out when first asked for. Keys unused for long are left out, and
+    long ones aren't kept, so the memory it takes is bounded.
+    """
 
-    def __init__(self, find):
-        self.find = find
+    def __init__(self, find, limit: int):
+        self.find, self.half, self.older = find, limit // 2, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_LIMIT:
+    def __missing__(self, key: str):
+        value = self.older.get(key)
+        if value is None:
+            value = self.find(key)
+            if len(key) > CACHE_CHARS:
+                return value
+        if len(self) >= self.half:
+            self.older = dict(self)
             self.clear()
-        self[piece] = ids = self.find(piece)
-        return ids
+        self[key] = value
+        return value
 
 
 def byte_letters() -> list[str]:
@@ -64,10 +72,9 @@ class PieceEncoder:
             self.kind = "words"
         elif before.get("type") == "ByteLevel" and before["use_regex"] and not made["normalizer"]:
             self.kind = "spaced"
-        self.words, self.cache = _Cache(self._word), _Cache(self._piece)
+        self.words, self.cache = Recent(self._word, CACHE_LIMIT), Recent(self.piece, CACHE_LIMIT)
         #: Pieces after a blank, by their text without it.
-        self.after_blank = _Cache(lambda word: self._piece(" " + word))
-        self.cache[""] = b""
+        self.after_blank = Recent(lambda word: self.piece(" " + word), CACHE_LIMIT)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -81,7 +88,7 @@ class PieceEncoder:
             word = self.letters[32] + word[1:]
         return b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(word))
 
-    def _piece(self, piece: str) -> bytes:
+    def piece(self, piece: str) -> bytes:
         found = _PLAIN.fullmatch(piece)
         if not found:
             return self._whole(piece)
@@ -96,7 +103,7 @@ class PieceEncoder:
     def encode(self, text: str) -> bytes:
         if self.kind == "words":
             return b"".join(map(self.cache.__getitem__, text.replace("\n", " ").split(" ")))
-        if self.kind != "spaced" or _OTHER_SPACE.search(text):
+        if self.kind != "spaced" or OTHER_SPACE.search(text):
             return self._whole(text)
         out, look = [], self.after_blank.__getitem__
         for i, line in enumerate(text.split("\n")):
