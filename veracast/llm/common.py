@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracast.shipping import ship
 
-#: Documents that a task holds as Python strings at once.
-BATCH_ROWS = 512
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Documents, and bytes of their texts, that a task holds as Python objects at once.
+BATCH_ROWS, BATCH_BYTES = 512, 1 << 20
+_ROWS, _BYTES = (f"spark.sql.execution.arrow.max{what}PerBatch" for what in ("Records", "Bytes"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,18 +25,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ready_workers(spark: SparkSession) -> None:
     """This package on the workers, and batches that suit rows with whole texts.
 
-    Spark's default of 10,000 rows a batch holds tens of megabytes of text several times over, in
-    the executor and in its Python workers; another setting is the user's and stays.
+    Spark hands Python 10,000 rows, or 64 MB, at a time, and holds them several times over in the
+    executor and in its worker. Unless the session has a limit of its own, this lowers the bytes and
+    leaves the rows: tables of narrow rows have their batches as before.
     """
     ship(spark)
-    if spark.conf.get(_BATCH) == "10000":
-        spark.conf.set(_BATCH, str(2 * BATCH_ROWS))
+    if not {_ROWS, _BYTES} & set(spark.conf.getAll):
+        spark.conf.set(_BYTES, str(4 * BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Returns memory that a task freed to the system, which its worker outlives the task with."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps it
+        pass
 
 
 def in_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package on the workers."""
     ready_workers(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(whole, schema)
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of ``BATCH_ROWS`` rows and ``BATCH_BYTES`` of texts at most, or of one row."""
+    sizes = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends, first = sizes.cumsum(), 0
+    while first < batch.num_rows:
+        limit = (ends[first - 1] if first else 0) + BATCH_BYTES
+        last = min(int(np.searchsorted(ends, limit, "right")), first + BATCH_ROWS, batch.num_rows)
+        last = max(last, first + 1)
+        yield batch.slice(first, last - first)
+        first = last
 
 
 def map_batches(
@@ -44,8 +79,8 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = build()
         for batch in batches:
-            for first in range(0, batch.num_rows, BATCH_ROWS):
-                out = work(batch.slice(first, BATCH_ROWS))
+            for part in slices(batch):
+                out = work(part)
                 if out.num_rows:
                     yield out
 
