@@ -8,7 +8,8 @@ span of its tokens open, so that names and other fields without digits vary too.
 
 * Leaves with fewer documents than ``min_docs`` can't hold a recurring template; they are counted
   first, and only lines of the others have their templates counted. Both are counts of hashes,
-  folded before the shuffle, so a line that a third of all documents share is no hot group.
+  folded before the shuffle, so a line that a third of all documents share is no hot group; lines of
+  crowded leaves, a bounded number of them, meet their leaf by broadcast.
 * Documents are joined with the numbers of their lost lines; that is the one shuffle of texts.
 
 Lines under ``min_tokens`` tokens, and lines of which half or more is variable, stay. A document may
@@ -19,8 +20,10 @@ where rows share an id; a document without an id is never the first. Other colum
 from __future__ import annotations
 
 import re
+from array import array
 from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,7 +40,8 @@ _LINES = (
     "doc_id long, key long, line int, leaf long, leaf_first boolean,"
     " templates array<struct<template: long, first: boolean>>"
 )
-_KIND = pa.list_(pa.struct([("template", pa.int64()), ("first", pa.bool_())]))
+#: Leaves that are broadcast, at most.
+MOST_CROWDED = 1_000
 
 
 def line_paths(line: str, min_tokens: int = MIN_TOKENS) -> tuple[int, list[int]] | None:
@@ -65,22 +69,39 @@ def line_paths(line: str, min_tokens: int = MIN_TOKENS) -> tuple[int, list[int]]
 def _line_rows(docs: DataFrame, min_tokens: int) -> DataFrame:
     def build():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out: list[list] = [[], [], [], [], [], []]
-            for doc_id, key, text in zip(*(c.to_pylist() for c in batch.columns)):
+            # Flat arrays of numbers: a batch of texts has many more lines, and templates.
+            places, numbers, leaves, ends = array("q"), array("i"), array("q"), array("i", [0])
+            leaf_first, templates, first = bytearray(), array("q"), bytearray()
+            for at, text in enumerate(batch.column(2).to_pylist()):
                 seen: set[int] = set()
                 for number, line in enumerate(text.split("\n")):
                     paths = line_paths(line, min_tokens)
                     if not paths:
                         continue
-                    leaf, templates = paths
-                    shown = [{"template": t, "first": t not in seen} for t in templates]
-                    row = doc_id, key, number, leaf, leaf not in seen, shown
-                    for column, value in zip(out, row):
-                        column.append(value)
-                    seen.update((leaf, *templates))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), _KIND]
+                    leaf, found = paths
+                    places.append(at)
+                    numbers.append(number)
+                    leaves.append(leaf)
+                    leaf_first.append(leaf not in seen)
+                    templates.extend(found)
+                    first.extend([t not in seen for t in found])
+                    ends.append(len(templates))
+                    seen.add(leaf)
+                    seen.update(found)
+            own = pa.array(np.frombuffer(places, dtype=np.int64))
+            pairs = pa.StructArray.from_arrays(
+                [_numbers(templates, np.int64), _flags(first)], ["template", "first"]
+            )
+            columns = [
+                batch.column(0).take(own),
+                batch.column(1).take(own),
+                _numbers(numbers, np.int32),
+                _numbers(leaves, np.int64),
+                _flags(leaf_first),
+                pa.ListArray.from_arrays(_numbers(ends, np.int32), pairs),
+            ]
             names = ["doc_id", "key", "line", "leaf", "leaf_first", "templates"]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+            return pa.RecordBatch.from_arrays(columns, names)
 
         return work
 
@@ -92,13 +113,33 @@ def _line_rows(docs: DataFrame, min_tokens: int) -> DataFrame:
     return map_batches(rows, build, _LINES)
 
 
+def _numbers(values: array, kind: type) -> pa.Array:
+    return pa.array(np.frombuffer(values, dtype=kind))
+
+
+def _flags(values: bytearray) -> pa.Array:
+    return pa.array(np.frombuffer(values, dtype=np.uint8).astype(bool))
+
+
+def _in_leaves(lines: DataFrame, min_docs: int) -> DataFrame:
+    """The rows of ``lines`` whose leaf has ``min_docs`` documents.
+
+    Leaves with more than a share of all lines, hence a bounded number of leaves, are broadcast, so
+    that no task gets a leaf that many documents share; the others' lines are joined by leaf.
+    """
+    leaves = lines.groupBy("leaf").agg(F.sum(F.col("leaf_first").cast("int")).alias("docs"))
+    crowded = max(min_docs, lines.count() // MOST_CROWDED)
+    hot = F.broadcast(leaves.where(F.col("docs") > crowded).select("leaf"))
+    rest = leaves.where(F.col("docs").between(min_docs, crowded)).select("leaf")
+    others = lines.join(hot, "leaf", "left_anti").join(rest, "leaf", "left_semi")
+    return lines.join(hot, "leaf", "left_semi").unionByName(others)
+
+
 def lost_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """(doc_id, key, lost): the sorted numbers of the lines that documents lose, if any."""
     lines = stage(_line_rows(docs, min_tokens), "line-templates")
-    leaves = lines.groupBy("leaf").agg(F.sum(F.col("leaf_first").cast("int")).alias("docs"))
-    leaves = leaves.where(F.col("docs") >= min_docs).select("leaf")
     open_lines = stage(
-        lines.join(leaves, "leaf").select("doc_id", "key", "line", F.inline("templates")),
+        _in_leaves(lines, min_docs).select("doc_id", "key", "line", F.inline("templates")),
         "line-candidates",
     )
     recurring = (
@@ -134,13 +175,11 @@ def drop_recurring_lines(
         row_key(docs).alias("own_key"),
     )
     same = F.col("own_id").eqNullSafe(F.col("lost_id")) & (F.col("own_key") == F.col("lost_key"))
-    joined = whole.join(lost, same, "left")
-    numbered = F.filter(
-        F.transform(
-            F.split("row.text", "\n", -1),
-            lambda x, i: F.when(~F.array_contains("lost", i), x),
-        ),
-        lambda x: x.isNotNull(),
+    # Named, so that a text is split once and its lines are then taken by their numbers.
+    joined = whole.join(lost, same, "left").select(
+        "row", "lost", F.split("row.text", "\n", -1).alias("lines")
     )
-    text = F.when(F.col("lost").isNull(), F.col("row.text")).otherwise(F.array_join(numbered, "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "lost")
+    left = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
+    text = F.when(F.col("lost").isNull(), F.col("row.text")).otherwise(left)
     return joined.select("row", text.alias("text"), F.coalesce(F.size("lost"), F.lit(0)).alias("lost"))
