@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from veracast.llm import credentials
 from veracast.llm.credentials import base_spans, credential_spans, linked_spans
 
 _ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -72,3 +75,52 @@ def test_many_parts_make_no_pairs():
 
 def test_nothing(messy):
     assert credential_spans(messy([])).collect() == []
+
+
+def test_nested_parts_hide_no_neighbour():
+    """A hex run inside an assignment starts later and ends earlier than it."""
+    text = "password=0123456789abcdef01234567" + "Z" * 150 + " login=bob123"
+    assert [k for k, *_ in linked_spans(text, base_spans(text))] == ["identity"]
+
+
+INTERVALS = st.lists(st.tuples(st.integers(0, 300), st.integers(1, 40)), max_size=12)
+
+
+@given(INTERVALS, st.integers(0, 300), st.integers(1, 30), st.integers(0, 60), st.lists(st.integers(0, 340), max_size=4))
+@settings(max_examples=500, deadline=None)
+def test_nearest_interval(spans, a, size, scope, cuts):
+    """Against all intervals of the block, where blocks are cut at places that no interval crosses."""
+    spans = [(x, x + n) for x, n in spans]
+    b = a + size
+    cuts = [c for c in cuts if not any(x < c < y for x, y in [*spans, (a, b)])]
+    low = max([c for c in cuts if c <= a], default=0)
+    high = min([c for c in cuts if c > a], default=1_000)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(credentials, "SCOPE", scope)
+        found = credentials._Intervals([("", *s) for s in spans]).near(a, b, low, high)
+        apart = [
+            max(x - b, a - y, 0) for x, y in spans if (x, y) != (a, b) and low <= x and y <= high
+        ]
+        least = min((d for d in apart if d <= scope), default=None)
+        assert (found is None) == (least is None)
+        if found:
+            x, y = found
+            assert found in spans and max(x - b, a - y, 0) == least and low <= x and y <= high
+
+
+def test_endpoints_are_whole():
+    url = "https://db.example.com/" + "p" * 300 + "?x=1"
+    text = f"user: alice1 password=hunter22x {url}"
+    spans = linked_spans(text, base_spans(text))
+    assert ("endpoint", text.index("https"), len(text)) in spans
+    twice = f"user: alice1 password=hunter22x {url} token=abcdefgh login: bobby1"
+    found = [s for s in linked_spans(twice, base_spans(twice)) if s[0] == "endpoint"]
+    assert found == [("endpoint", twice.index("https"), twice.index(" token"))]
+
+
+@pytest.mark.parametrize("run", ["a.", "a", "a+", "-a", "1."])
+def test_long_runs_are_read_once(run):
+    text = "user: alice1 password=hunter22x " + run * 200_000
+    start = time.perf_counter()
+    linked_spans(text, base_spans(text))
+    assert time.perf_counter() - start < 5

@@ -44,10 +44,11 @@ IDENTITY = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 KEY = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
+# A scheme and a host start where their run of characters does, so that no run is read once a character.
 ENDPOINT = re.compile(
-    r"\b[a-z][a-z0-9+.-]*://[^\s\"'<>]+"
+    r"(?<!\w)(?<![A-Za-z0-9][+.-])[a-z][a-z0-9+.-]*+://[^\s\"'<>]+"
     r"|\b\d{1,3}(?:\.\d{1,3}){3}(?::\d{2,5})?\b"
-    r"|\b(?:[A-Za-z0-9-]+\.)+(?:com|net|org|io|dev|internal|local)(?::\d{2,5})?\b",
+    r"|(?<![A-Za-z0-9-])(?<![A-Za-z0-9-]\.)(?:[A-Za-z0-9-]++\.)+(?:com|net|org|io|dev|internal|local)(?::\d{2,5})?\b",
     re.ASCII,
 )
 
@@ -81,23 +82,40 @@ class _Intervals:
         self.spans = sorted((a, b) for _, a, b in spans)
         self.starts = [a for a, _ in self.spans]
         self.ends: list[int] = []
-        for _, b in self.spans:  # the furthest end so far
-            self.ends.append(max(b, self.ends[-1] if self.ends else 0))
+        #: Of the furthest end so far: the first interval that has it.
+        self.owners: list[int] = []
+        for i, (_, b) in enumerate(self.spans):
+            further = not self.ends or b > self.ends[-1]
+            self.ends.append(b if further else self.ends[-1])
+            self.owners.append(i if further else self.owners[-1])
 
     def overlap(self, a: int, b: int) -> bool:
         i = bisect_left(self.starts, b)
         return i > 0 and self.ends[i - 1] > a
 
     def near(self, a: int, b: int, low: int, high: int) -> tuple[int, int] | None:
-        """The nearest interval before or after [a, b), within SCOPE and within [low, high)."""
-        i = bisect_right(self.starts, a)
-        for j in (i - 1, i):
-            if 0 <= j < len(self.spans):
-                x, y = self.spans[j]
-                apart = max(x - b, a - y, 0)
-                if apart <= SCOPE and low <= x and y <= high and (x, y) != (a, b):
-                    return x, y
-        return None
+        """The nearest interval to [a, b), within SCOPE and within [low, high); ties: the earlier.
+
+        Of those that start before ``a`` the furthest end is nearest, of the others the first start.
+        No interval crosses ``low`` or ``high``, so either is the nearest of its block if it is in it.
+        """
+        i = bisect_left(self.starts, a)
+        j = i
+        while j < len(self.spans) and self.spans[j] == (a, b):
+            j += 1
+        found = ([self.spans[self.owners[i - 1]]] if i else []) + self.spans[j : j + 1]
+        best = None
+        for x, y in found:
+            apart = max(x - b, a - y, 0)
+            if apart <= SCOPE and low <= x and y <= high and (best is None or apart < best[0]):
+                best = apart, (x, y)
+        return best and best[1]
+
+
+def _endpoints(text: str, reach: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Whole endpoints that meet an interval of ``reach``."""
+    within = _Intervals([("", a, b) for a, b in reach])
+    return [m.span() for m in ENDPOINT.finditer(text) if within.overlap(*m.span())] if reach else []
 
 
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
@@ -120,7 +138,7 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
         return (blocks[i - 1] if i else 0), (blocks[i] if i < len(blocks) else len(text))
 
     out: list[Span] = []
-    reach: list[tuple[int, int, int, int]] = []
+    reach: list[tuple[int, int]] = []
     for part, others in ((ids + strong_ids, secrets), (keys, holders)):
         for span in part:
             low, high = bounds(span[1])
@@ -129,12 +147,8 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
                 if span[0] != "access":
                     out.append(span)
                 a, b = min(span[1], other[0]), max(span[2], other[1])
-                reach.append((max(low, a - SCOPE), min(high, b + SCOPE), a, b))
-    found = {
-        ("endpoint", *m.span())
-        for low, high, _, _ in reach
-        for m in ENDPOINT.finditer(text, low, high)
-    }
+                reach.append((max(low, a - SCOPE), min(high, b + SCOPE)))
+    found = {("endpoint", x, y) for x, y in _endpoints(text, reach)}
     used = _Intervals(base + out)
     return out + [s for s in sorted(found) if not used.overlap(s[1], s[2])]
 
