@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -108,3 +109,55 @@ def test_odd_rows(messy, odd_rows):
     found = replace_entities(messy(odd_rows), KEY).collect()
     assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(odd_rows, key=str)
     assert replace_entities(messy([]), KEY).collect() == []
+
+
+def test_national_phones_and_ibans():
+    text = "Call 415 555 0123 or 030 1234567; pay DE89 3704 0044 0532 0130 00 or GB82WEST12345698765432."
+    assert _kinds(text) == ["phone", "phone", "iban", "iban"]
+    assert "iban" not in _kinds("pay DE88 3704 0044 0532 0130 00 now")
+    made = surrogate("iban", "gb82west12345698765432", KEY)
+    assert surrogates.valid_iban(made.upper()) and made[:2] == "gb" and made[4:8].isalpha()
+
+
+def test_one_person_whatever_the_title(messy):
+    rows = [
+        (1, "Anna Meyer wrote. Mrs. Anna Meyer met Dr. Anna Meyer; Anna Meyer left."),
+        (2, "Prof. Anna Meyer spoke."),
+        (3, "Mr Kim Lee and Mrs Kim Lee and Dr Kim Lee."),
+        (4, "Anna Meyer without a title is nobody."),
+    ]
+    got = {r.doc_id: r for r in replace_entities(messy(rows), KEY).collect()}
+    assert [got[i].n_entities for i in range(1, 5)] == [4, 1, 3, 0]
+    her = set(re.findall(r"\w+na \w+na", got[1].text))
+    assert len(her) == 1 and got[1].text.count(min(her)) == 4 and min(her) in got[2].text
+    assert len(set(re.findall(r"M?r?s? ?(\w+ \w+)(?= and|\.)", got[3].text))) == 3
+    assert got[4].text == rows[3][1]
+
+
+def test_full_formats_are_permuted_as_a_whole(messy):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.co" for a in letters for b in letters]
+    rows = [(i, " ".join(mails[i::5])) for i in range(5)] + [(9, "q@x.org")]
+    got = {r.doc_id: r.text.split() for r in replace_entities(messy(rows), KEY).collect()}
+    made = [m for i in range(5) for m in got[i]]
+    assert sorted(made) == mails
+    assert all(m != own for i in range(5) for m, own in zip(got[i], mails[i::5]))
+
+
+@pytest.mark.parametrize("text", [" ".join(f"u{i}@mail.example.com" for i in range(8_000)), "x@y.co " + "a" * 1_000_000, "a." * 400_000 + " x@y.co", "@".join("a" * 300_000) + " x@y.co"])
+def test_long_texts_in_linear_time(text):
+    start = time.perf_counter()
+    assert find_entities(text)
+    assert time.perf_counter() - start < 3
+
+
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(1, 6)), max_size=20))
+@settings(max_examples=200, deadline=None)
+def test_taken_places(spans):
+    taken, held = surrogates._Taken(), []
+    for a, n in spans:
+        free = all(a + n <= x or y <= a for x, y in held)
+        assert taken.free(a, a + n) is free
+        if free:
+            taken.add([(a, a + n, "k", "e")])
+            held.append((a, a + n))
