@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from veracast.llm import queries
-from veracast.llm.simhash import fingerprints_of
 from veracast.sources.scratch import stage
 
 from .test_decontamination import plain as plain_contamination
 from .test_line_templates import plain as plain_lines
 from .test_packing import _check
+from .test_similar import plain as plain_similar
 
 STAGES = dict(corpus_pipeline.STAGES)
 
@@ -25,25 +24,6 @@ def tables(spark, messy, odd_rows, write_tables):
     return write_tables(documents=messy(odd_rows), labels=labels, benchmark=items)
 
 
-def _one_of_each(rows):
-    """Brute force: prints of all pairs, then the smallest of each component."""
-    prints = [
-        fingerprints_of(t or "", corpus_pipeline.SHINGLE, corpus_pipeline.TABLES) for _, t in rows
-    ]
-    x = np.array(prints, dtype=np.uint64)
-    name = list(range(len(rows)))
-    changed = True
-    while changed:
-        changed = False
-        for i in range(len(rows)):
-            near = np.flatnonzero((np.bitwise_count(x ^ x[i]) <= corpus_pipeline.BUDGET).any(1))
-            least = min(name[j] for j in near)
-            for j in near:
-                if name[j] != least:
-                    name[j], changed = least, True
-    return [r for i, r in enumerate(rows) if name[i] == i]
-
-
 def test_stages_on_given_tables(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
@@ -62,7 +42,7 @@ def test_stages_on_given_tables(spark, sf_dir):
     held = plain_lines(held)
     assert step("line dedup") == sorted(held)
     assert docs.where("n_chars <> length(text)").count() == 0
-    held = _one_of_each(sorted(held))
+    held = plain_similar(sorted(held))
     assert step("near-dedup") == held
     marked = {r[0] for r in plain_contamination(held, items) if r[2]}
     assert marked
@@ -97,5 +77,5 @@ def test_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in names}
+    assert "pipeline" in names and {f"op{i}" for i in range(1, 14)} <= {n.split("_")[0] for n in names}
     assert set(__spark_entry__.oracle_sql()) <= names
