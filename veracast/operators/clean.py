@@ -15,14 +15,26 @@ from veracast.functions.months import parse_month
 CANONICAL_NAMES = {"ventes_reelles_qty": "actual_qty", "algorithme": "algo_name"}
 AUDIT_COLUMNS = ("sku_id", "algo_name", "date_month", "actual_qty", "forecast_qty")
 
+_ALIGNED = "month_aligned"
+
 
 def align_month(df: DataFrame, column: str = "periode") -> DataFrame:
-    """The column as a date on day 1; text in any of the three accepted formats."""
+    """The column as a date on day 1; text in any of the three accepted formats.
+
+    A column that ``as_aligned`` has marked stays as it is, and with it how its table is laid out.
+    """
+    if df.schema[column].metadata.get(_ALIGNED):
+        return df
     dated = isinstance(df.schema[column].dataType, (DateType, TimestampType, TimestampNTZType))
     month = F.trunc(F.col(column), "month") if dated else parse_month(F.col(column))
     return df.withColumn(column, month)
 
 
+def as_aligned(df: DataFrame, column: str = "periode") -> DataFrame:
+    """Marks a column of dates on day 1 as such; tables keep the mark."""
+    return df.withColumn(column, F.col(column).alias(column, metadata={_ALIGNED: True}))
+
+
 def known_algorithms(
     df: DataFrame, valid: Iterable[str] = VALID_ALGORITHMS, column: str = "algorithme"
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -110,6 +111,7 @@ def build_silver(
     processed_at: dt.datetime,
     source: str,
     settings: Settings = Settings(),
+    keep: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> DataFrame:
     """Clean the four feeds and join them on (sku, month), keeping future forecasts.
 
@@ -118,10 +120,10 @@ def build_silver(
     in the layout the folding leaves; a month's forecasts travel as one row and part at the end.
     So forecasts are shuffled twice: for their month, and for the segments of their product,
     which AQE broadcasts while they are small and splits by skew when they are not. The cleaned
-    actuals feed both the segments and the join, so they are staged. Runs the staging and the
-    segmentation jobs.
+    actuals feed both the segments and the join, so they are staged, by ``keep``. Runs the staging
+    and the segmentation jobs.
     """
-    actuals = stage(clean_actuals(raw.actuals), "actuals")
+    actuals = keep(clean_actuals(raw.actuals), "actuals")
     segments = abcxyz_segments(sales_profile(actuals, settings), settings).select(
         "sku_id", "segment_abc", "segment_xyz", "segment_abcxyz", "mape_cible_pct", "cv",
         "ca_total_12m",

@@ -26,7 +26,7 @@ from veracast.operators import accuracy, alerts, backtest, baselines, clean, fit
 from veracast.operators import leadtime, monthly_state, origins, seasonal, segment_kpis
 from veracast.operators import segmentation, silver, summary, value_added
 from veracast.schemas import RAW_ACTUALS, conform
-from veracast.plans import orderbook
+from veracast.plans import colocated, orderbook
 from veracast.sources import lake, quarantine
 from veracast.sources.scratch import fresh_path, stage
 
@@ -456,6 +456,18 @@ def silver_forecasts(spark, sf_dir):
     return _silver(spark, sf_dir)
 
 
+@query
+def silver_colocated(spark, sf_dir):
+    """Silver from feeds in buckets of product and month; they are dropped when it is staged."""
+    prefix = colocated.fresh_prefix()
+    try:
+        colocated.save_feeds(orderbook.raw_tables(spark, sf_dir), prefix, buckets=8)
+        built = colocated.silver_of_feeds(spark, prefix, 8, PROCESSED_AT, "order lines", SETTINGS)
+        return stage(built, "silver-colocated")
+    finally:
+        colocated.drop_feeds(spark, prefix)
+
+
 @query
 def algo_distribution(spark, sf_dir):
     return silver.algorithm_distribution(_silver(spark, sf_dir))

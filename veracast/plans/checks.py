@@ -599,6 +599,7 @@ def _selects() -> dict[str, str]:
   SELECT 'xyz', segment_xyz, COUNT(*) FROM seg GROUP BY 2""",
         "lead_time_total": "SELECT * FROM lt",
         "silver_forecasts": f"SELECT {_SILVER_COLUMNS} FROM silver",
+        "silver_colocated": f"SELECT {_SILVER_COLUMNS} FROM silver",
         "algo_distribution": "SELECT algorithme, COUNT(*) AS n_rows FROM silver GROUP BY 1",
         "dq_silver": f"""
   SELECT n_rows, rows_without_actual,

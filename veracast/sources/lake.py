@@ -68,13 +68,16 @@ def save_managed(
     name: str,
     fmt: str = LAKE_FORMAT,
     mode: str = "overwrite",
-    bucket_by: tuple[int, str] | None = None,
+    bucket_by: Sequence | None = None,
 ) -> None:
-    """Managed table; bucketing on the product key spares later joins and groupings a shuffle."""
+    """Managed table; bucketing on the product key spares later joins and groupings a shuffle.
+
+    ``bucket_by`` is the number of buckets and then one column or more.
+    """
     writer = df.write.format(fmt).mode(mode)
     if bucket_by:
-        buckets, column = bucket_by
-        writer = writer.bucketBy(buckets, column).sortBy(column)
+        buckets, *columns = bucket_by
+        writer = writer.bucketBy(buckets, *columns).sortBy(*columns)
     writer.saveAsTable(name)
 
 
