@@ -16,7 +16,18 @@ from veracast.plans import catalog, pipeline
 from veracast.sources import lake
 from veracast.sources.scratch import stage
 
-PYTHON_ALLOWED = {"backtest_holt_winters", "backtest_fixed_weights"}
+PYTHON_ALLOWED = {
+    "backtest_holt_winters",
+    "backtest_fixed_weights",
+    "holt_winters_fit",
+    "holt_winters_proof",
+    "ets_fixed_form",
+    "ets_fit",
+    "backtest_ets",
+    "arima_orders",
+    "backtest_arima",
+    "backtest_stlf",
+}
 
 
 def plan(df) -> str:
