@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
@@ -15,6 +16,7 @@ from veracast.functions import arima, loess, statespace
 from veracast.functions.forecasters import additive_errors, fitted_additive
 from veracast.functions.search import bounded_minimum
 from veracast.operators import backtest, fits, origins, seasonal
+from veracast.plans.catalog import PROOF_GRID
 
 MONTHLY = "sku_id string, date_month date, actual_qty double"
 SALES = "Material_ID string, Sales_Date date, Quantity_Sold double"
@@ -59,6 +61,15 @@ def test_search_escapes_the_basin_of_the_best_start():
 # -- Holt-Winters ------------------------------------------------------------------------
 
 
+def test_fit_finds_a_basin_with_a_middling_trend_weight():
+    sold = [0, 37, 49, 20, 0, 47, 23, 23, 0, 26, 24, 66, 8, 0, 0, 11, 0, 0, 59, 64, 0, 34, 43, 21, 41,
+            19, 50, 8, 53]
+    train = [np.array(sold, dtype=float)]
+    _, error = fitted_additive(train, 12)
+    least = min(additive_errors(train, 12, point)[0] for point in product(*PROOF_GRID))
+    assert error[0] <= least
+
+
 def test_fit_is_never_worse_than_a_fine_grid():
     rng = np.random.default_rng(2)
     train = [rng.random(n) * 50 for n in (24, 24, 40, 61)] + [np.zeros(30), np.arange(48.0)]

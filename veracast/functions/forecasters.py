@@ -155,7 +155,12 @@ def fitted_additive(train: Sequence[np.ndarray], season: int) -> tuple[np.ndarra
     weights, errors = np.zeros((len(train), 3)), np.full(len(train), np.nan)
     for rows, y in _same_lengths(train):
         found, _ = bounded_minimum(
-            lambda w: _additive(y, season, 1, w.T)[0], len(y), FIT_AXES, [(0.0, 1.0)] * 3, starts=len(FIT_AXES[0])
+            lambda w: _additive(y, season, 1, w.T)[0],
+            len(y),
+            FIT_AXES,
+            [(0.0, 1.0)] * 3,
+            starts=len(FIT_AXES[0]),
+            every_axis=True,
         )
         weights[rows] = found.round(FIT_DIGITS)
         errors[rows] = _additive(y, season, 1, weights[rows].T)[0]
