@@ -183,3 +183,26 @@ def test_folded_forecasts_are_the_clean_ones(spark, sf_dir):
     wide = silver.forecasts_by_month(raw).select("sku_id", "periode", F.inline("forecasts"))
     plain = silver.clean_forecasts(raw).select(*wide.columns)
     assert wide.exceptAll(plain).isEmpty() and plain.exceptAll(wide).isEmpty()
+
+
+def test_some_columns_of_silver_are_those_of_the_whole(spark, sf_dir):
+    """Quantities fold by hashing where no other column of their feed is wanted."""
+    raw = catalog.orderbook.raw_tables(spark, sf_dir)
+    whole = silver.build_silver(raw, catalog.PROCESSED_AT, "plans")
+    for columns in (catalog.SEGMENT_INPUT, ("sku_id", "algorithme", "flag_rupture"), ("dci", "qty_facturee")):
+        some = silver.build_silver(raw, catalog.PROCESSED_AT, "plans", columns=columns)
+        assert sorted(some.columns) == sorted(columns)
+        plain = whole.select(*some.columns)
+        assert some.exceptAll(plain).isEmpty() and plain.exceptAll(some).isEmpty()
+    text = plan(silver.forecasts_by_month(raw.forecasts, attributes=False))
+    assert "SortAggregate" not in text and "ObjectHash" not in text
+
+
+def test_a_month_without_a_quantity_keeps_its_row(spark):
+    rows = [("a", "2020-01", "ETS", None, "d", "t"), ("a", "2020-01", "ARIMAX", 3.0, "d", "t"),
+            ("a", "2020-01", "ARIMAX", None, "c", "t")]
+    raw = spark.createDataFrame(
+        rows, "sku_id string, periode string, algorithme string, forecast_qty double, dci string, atc4 string"
+    )
+    wide = silver.forecasts_by_month(raw, attributes=False).select(F.inline("forecasts"))
+    assert sorted(map(tuple, wide.collect())) == [("ARIMAX", 3.0), ("ETS", 0.0)]

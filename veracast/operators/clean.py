@@ -65,16 +65,28 @@ def month_census(df: DataFrame, column: str = "periode") -> DataFrame:
     )
 
 
-def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+def one_row_per_key(
+    df: DataFrame, keys: list[str], wanted: Iterable[str] | None = None
+) -> DataFrame:
     """The smallest row of each key, comparing the other columns left to right, nulls last.
 
     A row that has a value never loses to one that lacks it. Unlike an arbitrary survivor this is
     repeatable after a lost executor, and being a plain ``min`` it folds copies of a hot key on
     the map side before anything is shuffled.
+
+    With ``wanted``, only those other columns are returned, and those after the last of them are
+    not compared: they can't change it. A single column is a plain ``min`` by hashing, without the
+    sort that a struct takes.
     """
     rest = [c for c in df.columns if c not in keys]
+    if wanted is not None:
+        last = max((i for i, c in enumerate(rest) if c in wanted), default=-1)
+        rest = rest[: last + 1]
+        df = df.select(*keys, *rest)
     if not rest:
         return df.distinct()
+    if wanted is not None and len(rest) == 1:
+        return df.groupBy(*keys).agg(F.min(rest[0]).alias(rest[0]))
     best = df.groupBy(*keys).agg(F.min(nulls_last(rest)).alias("_row"))
     return best.select(*[F.col(f"_row.{c}").alias(c) if c in rest else c for c in df.columns])
 

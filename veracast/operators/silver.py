@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -51,16 +51,32 @@ def clean_forecasts(raw: DataFrame, settings: Settings = Settings()) -> DataFram
     )
 
 
-def forecasts_by_month(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def forecasts_by_month(
+    raw: DataFrame, settings: Settings = Settings(), attributes: bool = True
+) -> DataFrame:
     """The rows of ``clean_forecasts`` as one row per product and month, in ``forecasts``.
 
     The whitelist is closed, so each algorithm's smallest row is an aggregate of its own. All of
-    them fold before one shuffle, on the key that the other feeds have too.
+    them fold before one shuffle, on the key that the other feeds have too. Without ``attributes``
+    a row's quantity alone is kept; it decides first which row is smallest, so it is a plain ``min``,
+    by hashing and not by sorting.
     """
     df = require_columns(raw, column_names(RAW_FORECASTS), "raw forecasts")
     df = known_algorithms(align_month(df), settings.valid_algorithms)
     rest = [c for c in column_names(RAW_FORECASTS) if c not in (*MONTH_KEY, "algorithme")]
 
+    # A bit for each algorithm that a month has a row of, whatever its quantity.
+    bits = {a: 1 << i for i, a in enumerate(settings.valid_algorithms)}
+    bit = F.lit(0).cast("long")
+    for algorithm, value in bits.items():
+        bit = F.when(F.col("algorithme") == algorithm, F.lit(value).cast("long")).otherwise(bit)
+
+    def least(algorithm: str) -> Column:
+        own = F.min(F.when(F.col("_bit") == bits[algorithm], F.col("forecast_qty")))
+        quantity = F.coalesce(own, F.lit(0.0)).alias("forecast_qty")
+        kept = F.struct(F.lit(algorithm).alias("algorithme"), quantity)
+        return F.when(F.bit_or("_bit").bitwiseAND(F.lit(bits[algorithm]).cast("long")) != 0, kept)
+
     def best(algorithm: str) -> Column:
         row = F.min(F.when(F.col("algorithme") == algorithm, nulls_last(rest)))
         quantity = F.coalesce(row.getField("forecast_qty"), F.lit(0.0)).alias("forecast_qty")
@@ -68,7 +84,9 @@ def forecasts_by_month(raw: DataFrame, settings: Settings = Settings()) -> DataF
         kept = F.struct(F.lit(algorithm).alias("algorithme"), quantity, *others)
         return F.when(row.isNotNull(), kept)
 
-    every = F.array(*[best(a) for a in settings.valid_algorithms])
+    one = best if attributes else least
+    df = df if attributes else df.withColumn("_bit", bit)
+    every = F.array(*[one(a) for a in settings.valid_algorithms])
     return df.groupBy(*MONTH_KEY).agg(F.array_compact(every).alias("forecasts"))
 
 
@@ -84,10 +102,11 @@ def clean_lead_times(raw: DataFrame) -> DataFrame:
     return with_total_lead_time(fill_defaults(df, dict.fromkeys(STAGES, 0)))
 
 
-def clean_supply_chain(raw: DataFrame) -> DataFrame:
+def clean_supply_chain(raw: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
     df = require_columns(raw, column_names(RAW_SUPPLY_CHAIN), "raw supply chain")
-    df = one_row_per_key(align_month(df), MONTH_KEY)
-    return fill_defaults(df, {"nb_ruptures": 0, "qty_commandee": 0, "qty_facturee": 0})
+    df = one_row_per_key(align_month(df), MONTH_KEY, wanted)
+    defaults = {"nb_ruptures": 0, "qty_commandee": 0, "qty_facturee": 0}
+    return fill_defaults(df, {c: d for c, d in defaults.items() if c in df.columns})
 
 
 def with_total_lead_time(df: DataFrame) -> DataFrame:
@@ -112,6 +131,7 @@ def build_silver(
     source: str,
     settings: Settings = Settings(),
     keep: Callable[[DataFrame, str], DataFrame] = stage,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Clean the four feeds and join them on (sku, month), keeping future forecasts.
 
@@ -122,14 +142,23 @@ def build_silver(
     which AQE broadcasts while they are small and splits by skew when they are not. The cleaned
     actuals feed both the segments and the join, so they are staged, by ``keep``. Runs the staging
     and the segmentation jobs.
+
+    ``columns`` names the columns that are wanted, all of Silver's if it is missing. Feeds that give
+    none of them are not read, and a feed of which only the first column is wanted folds by hashing.
     """
+    names = column_names(SILVER)
+    wanted = names if columns is None else [c for c in names if c in columns]
+    attributes = "dci" in wanted or "atc4" in wanted
+    supplies = [c for c in ("nb_ruptures", "qty_commandee", "qty_facturee") if c in wanted]
+    if "flag_rupture" in wanted and "nb_ruptures" not in supplies:
+        supplies = ["nb_ruptures", *supplies]
     actuals = keep(clean_actuals(raw.actuals), "actuals")
     segments = abcxyz_segments(sales_profile(actuals, settings), settings).select(
         "sku_id", "segment_abc", "segment_xyz", "segment_abcxyz", "mape_cible_pct", "cv",
         "ca_total_12m",
     )
     joined = (
-        forecasts_by_month(raw.forecasts, settings)
+        forecasts_by_month(raw.forecasts, settings, attributes)
         .join(
             actuals.select(*MONTH_KEY, "ventes_reelles_qty", "ventes_reelles_valeur"),
             MONTH_KEY,
@@ -141,18 +170,16 @@ def build_silver(
             "left",
         )
         .join(
-            clean_supply_chain(raw.supply_chain).select(
-                *MONTH_KEY, "nb_ruptures", "qty_commandee", "qty_facturee"
-            ),
+            clean_supply_chain(raw.supply_chain, supplies).select(*MONTH_KEY, *supplies),
             MONTH_KEY,
             "left",
         )
         .join(segments, "sku_id", "left")
         .select("*", F.inline("forecasts"))
         .drop("forecasts")
-        .withColumns(gap_columns())
+        .withColumns({c: v for c, v in gap_columns().items() if c in wanted})
     )
-    return stamp_silver(joined, source, processed_at).select(*column_names(SILVER))
+    return stamp_silver(joined, source, processed_at).select(*wanted)
 
 
 def quality_report(silver: DataFrame) -> DataFrame:

@@ -98,15 +98,26 @@ def _segments(spark, sf_dir):
     return segmentation.abcxyz_segments(_profile(spark, sf_dir), SETTINGS)
 
 
-def _silver(spark, sf_dir):
+# Silver's columns that the segment KPIs read.
+SEGMENT_INPUT = (
+    "sku_id", "periode", "algorithme", "forecast_qty", "ventes_reelles_qty", "segment_abc",
+    "segment_xyz", "segment_abcxyz",
+)
+
+
+def _silver(spark, sf_dir, columns=None):
     return silver.build_silver(
-        orderbook.raw_tables(spark, sf_dir), PROCESSED_AT, "order lines", SETTINGS
+        orderbook.raw_tables(spark, sf_dir),
+        PROCESSED_AT,
+        "order lines",
+        SETTINGS,
+        columns=columns,
     )
 
 
-def _staged_silver(spark, sf_dir):
-    """For queries that read Silver more than once."""
-    return stage(_silver(spark, sf_dir), "silver")
+def _staged_silver(spark, sf_dir, columns=None):
+    """For queries that read Silver, or some columns of it, more than once."""
+    return stage(_silver(spark, sf_dir, columns), "silver")
 
 
 def _impact(spark, sf_dir):
@@ -116,7 +127,7 @@ def _impact(spark, sf_dir):
 
 
 def _segment_perf(spark, sf_dir):
-    return segment_kpis.segment_performance(_silver(spark, sf_dir), SETTINGS)
+    return segment_kpis.segment_performance(_silver(spark, sf_dir, SEGMENT_INPUT), SETTINGS)
 
 
 def _evaluation(spark, sf_dir):
@@ -470,12 +481,13 @@ def silver_colocated(spark, sf_dir):
 
 @query
 def algo_distribution(spark, sf_dir):
-    return silver.algorithm_distribution(_silver(spark, sf_dir))
+    return silver.algorithm_distribution(_silver(spark, sf_dir, ("algorithme",)))
 
 
 @query
 def dq_silver(spark, sf_dir):
-    return silver.quality_report(_staged_silver(spark, sf_dir))
+    read = ("sku_id", "periode", "ventes_reelles_qty", "segment_abcxyz")
+    return silver.quality_report(_staged_silver(spark, sf_dir, read))
 
 
 # -- baselines and back-test -------------------------------------------------------------
@@ -734,7 +746,7 @@ def perf_segment(spark, sf_dir):
 
 @query
 def fva_segment(spark, sf_dir):
-    return segment_kpis.segment_value_added(_silver(spark, sf_dir), SETTINGS)
+    return segment_kpis.segment_value_added(_silver(spark, sf_dir, SEGMENT_INPUT), SETTINGS)
 
 
 @query
@@ -759,13 +771,13 @@ def m_theil(spark, sf_dir):
 
 @query
 def m_fva(spark, sf_dir):
-    fva = segment_kpis.segment_value_added(_silver(spark, sf_dir), SETTINGS)
+    fva = segment_kpis.segment_value_added(_silver(spark, sf_dir, SEGMENT_INPUT), SETTINGS)
     return measures.value_added(fva, ["segment_abc"])
 
 
 @query
 def m_best_algo(spark, sf_dir):
-    fva = segment_kpis.segment_value_added(_silver(spark, sf_dir), SETTINGS)
+    fva = segment_kpis.segment_value_added(_silver(spark, sf_dir, SEGMENT_INPUT), SETTINGS)
     return measures.best_algorithm(fva, ["segment_abc"])
 
 
@@ -781,24 +793,26 @@ def m_certification(spark, sf_dir):
 
 @query
 def m_leadtime(spark, sf_dir):
-    return measures.lead_times(_silver(spark, sf_dir), ["segment_abc"], SETTINGS)
+    read = ("sku_id", "segment_abc", *silver.STAGES, "lt_total_jours")
+    return measures.lead_times(_silver(spark, sf_dir, read), ["segment_abc"], SETTINGS)
 
 
 @query
 def m_mape_by_leadtime(spark, sf_dir):
-    rows = _staged_silver(spark, sf_dir)
+    rows = _staged_silver(spark, sf_dir, (*SEGMENT_INPUT, "lt_total_jours"))
     perf = segment_kpis.segment_performance(rows, SETTINGS)
     return measures.mape_by_lead_time(perf, rows, ["algorithme"], SETTINGS)
 
 
 def _model(spark, sf_dir):
     """The tables that filters travel between."""
-    rows = _staged_silver(spark, sf_dir)
-    perf = stage(segment_kpis.segment_performance(rows, SETTINGS), "segment-performance")
+    rows = _staged_silver(spark, sf_dir, (*SEGMENT_INPUT, "lt_total_jours", "flag_rupture"))
+    totals = stage(segment_kpis.segment_totals(rows), "segment-totals")
+    perf = segment_kpis.performance_of_totals(totals, SETTINGS)
     return {
         "silver": rows,
         "performance": perf,
-        "fva": segment_kpis.segment_value_added(rows, SETTINGS),
+        "fva": segment_kpis.value_added_of_totals(totals, SETTINGS),
         "alerts": segment_kpis.segment_alerts(perf, SETTINGS),
     }
 
@@ -867,12 +881,13 @@ def m_cube(spark, sf_dir):
 
 @query
 def m_rupture(spark, sf_dir):
-    return measures.rupture_rate(_silver(spark, sf_dir), ["segment_abcxyz"])
+    read = ("segment_abcxyz", "nb_ruptures")
+    return measures.rupture_rate(_silver(spark, sf_dir, read), ["segment_abcxyz"])
 
 
 @query
 def m_mape_by_rupture(spark, sf_dir):
-    rows = _staged_silver(spark, sf_dir)
+    rows = _staged_silver(spark, sf_dir, (*SEGMENT_INPUT, "flag_rupture"))
     perf = segment_kpis.segment_performance(rows, SETTINGS)
     return measures.mape_by_rupture(perf, rows, ["algorithme"])
 
@@ -885,7 +900,7 @@ def m_alerts(spark, sf_dir):
 
 @query
 def m_monitoring(spark, sf_dir):
-    rows = _staged_silver(spark, sf_dir)
+    rows = _staged_silver(spark, sf_dir, (*SEGMENT_INPUT, "date_traitement"))
     perf = stage(segment_kpis.segment_performance(rows, SETTINGS), "segment-performance")
     return measures.monitoring(rows, perf)
 
@@ -902,6 +917,6 @@ def m_benchmark(spark, sf_dir):
 
 @query
 def m_exec_summary(spark, sf_dir):
-    rows = _staged_silver(spark, sf_dir)
+    rows = _staged_silver(spark, sf_dir, (*SEGMENT_INPUT, "date_traitement"))
     perf = stage(segment_kpis.segment_performance(rows, SETTINGS), "segment-performance")
     return measures.executive_summary(rows, perf, segment_kpis.segment_alerts(perf, SETTINGS))
