@@ -62,3 +62,9 @@ def test_mark_keeps_the_column(spark):
     assert dated.first().periode == dt.date(2020, 1, 1)
     assert align_month(as_aligned(dated)).schema == as_aligned(dated).schema
     assert "trunc" not in align_month(as_aligned(df))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_buckets_grow_with_the_feeds():
+    """A fixed number would leave a whole table of any size to as many tasks."""
+    small, large = colocated.bucket_count(1_000), colocated.bucket_count(180_000_000)
+    assert small == 8 and 180_000_000 / large <= colocated.ROWS_PER_BUCKET

@@ -472,8 +472,13 @@ def silver_colocated(spark, sf_dir):
     """Silver from feeds in buckets of product and month; they are dropped when it is staged."""
     prefix = colocated.fresh_prefix()
     try:
-        colocated.save_feeds(orderbook.raw_tables(spark, sf_dir), prefix, buckets=8)
-        built = colocated.silver_of_feeds(spark, prefix, 8, PROCESSED_AT, "order lines", SETTINGS)
+        raw = orderbook.raw_tables(spark, sf_dir)
+        # Lead times come once per product month.
+        buckets = colocated.bucket_count(raw.lead_times.count())
+        colocated.save_feeds(raw, prefix, buckets)
+        built = colocated.silver_of_feeds(
+            spark, prefix, buckets, PROCESSED_AT, "order lines", SETTINGS
+        )
         return stage(built, "silver-colocated")
     finally:
         colocated.drop_feeds(spark, prefix)

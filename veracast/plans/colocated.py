@@ -19,6 +19,8 @@ from veracast.operators.clean import align_month, as_aligned
 from veracast.operators.silver import MONTH_KEY, RawTables, build_silver
 from veracast.sources import lake
 
+# A bucket of the longest feed, five rows a product month, then stays at some 100 MB in memory.
+ROWS_PER_BUCKET = 200_000
 _FEEDS = [field.name for field in dataclasses.fields(RawTables)]
 
 
@@ -59,5 +61,10 @@ def silver_of_feeds(
     return build_silver(read_feeds(spark, prefix), processed_at, source, settings, keep)
 
 
+def bucket_count(rows: int, least: int = 8) -> int:
+    """Buckets for feeds of so many product months: a task has about as many rows at any size."""
+    return max(least, -(-rows // ROWS_PER_BUCKET))
+
+
 def fresh_prefix() -> str:
     return f"feeds_{uuid.uuid4().hex}"
