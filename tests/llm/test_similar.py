@@ -115,3 +115,19 @@ def test_a_template_under_the_threshold_makes_no_pairs(spark):
     classes = spark.createDataFrame([(i, len(s), i) for i, s in enumerate(sets)], "class long, n long, root long")
     assert similar._prefix_pairs(classes, texts, 5, 0.8).count() < 400
     assert kept(spark, rows) == plain(rows)
+
+
+def test_close_copies_come_from_the_trie_join(spark, monkeypatch):
+    classes = [(5, 10, 0b0), (7, 10, 0b11), (8, 10, 0b1111), (9, 4, 0b1), (6, 10, -1), (4, 0, 0b11111 << 40)]
+    given = spark.createDataFrame(classes, "class long, n long, print long")
+    # 8 is reached over 7 only; 9 is too short to be similar; -1 has all 64 bits, 4 no words.
+    found = similar.print_pairs(given, 0.8).collect()
+    assert sorted(tuple(r) for r in found if r.a != 4) == [(7, 5), (8, 5)]
+
+    asked, links = [], similar._links
+    monkeypatch.setattr(similar, "_links", lambda prints, budget: asked.append(budget) or links(prints, budget))
+    draw = random.Random(8)
+    words = [f"w{draw.randrange(5000)}" for _ in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1])), (3, " ".join(words[:200])), (4, ""), (5, None)]
+    assert [r[0] for r in kept(spark, rows)] == [1, 3, 4]
+    assert asked == [2]

@@ -1,9 +1,13 @@
 """Near-copies by the Jaccard similarity of word shingles.
 
 Documents whose sets of shingles have a similarity of ``least`` or more are linked, and linked
-documents form groups. Fingerprints cannot decide that, and the trie join of ``simhash`` reports
-roots of chains, of which a pair that is similar need not be one; so candidates come from MinHash:
+documents form groups.
 
+* **Fingerprints first.** The trie join of ``simhash`` links the SimHash fingerprints of the
+  documents, and each document is compared with one of its linked ones, by its texts. It finds the
+  close copies. It cannot decide the others: two texts at 0.8 differ in about ten of 64 bits, and it
+  reports roots of chains, of which a pair that is similar need not be one. So further candidates
+  come from MinHash; documents that are of one group already aren't compared again.
 * **Candidates.** Of ``BANDS`` keys, each a hash of the ``ROWS`` smallest values of the shingles
   under as many orders, two documents share one with probability 1 - (1 - s ** ROWS) ** BANDS. At a
   similarity of 0.8 a pair is missed five times in 100 million, above it less.
@@ -28,14 +32,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracast.llm.common import in_arrow, map_batches
-from veracast.llm.simhash import _hashes, components
+from veracast.llm.simhash import _hashes, _links, _signed, components, fingerprints_of
 from veracast.sources.scratch import stage
 
 BANDS, ROWS = 32, 4
+#: Words of a fingerprint's shingles, and bits in which linked fingerprints differ at most.
+PRINT_WORDS, PRINT_BITS = 3, 2
 #: Shingles that are hashed under all orders at once.
 CHUNK = 4_096
 _FACTORS = np.random.default_rng(5).integers(1 << 63, size=(BANDS * ROWS, 1), dtype=np.uint64) * 2 + 1
@@ -67,25 +73,47 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def _sketched(docs: DataFrame, shingle: int) -> DataFrame:
-    """(place, class, n, bands): ``class`` names a set of ``n`` shingles."""
+    """(place, class, n, print, bands): ``class`` names a set of ``n`` shingles."""
 
     def build():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
+            sets = [shingle_set(t, shingle) for t in texts]
+            prints = [fingerprints_of(t, PRINT_WORDS)[0] for t in texts]
             names = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64)
             columns = [
                 batch.column(0),
                 pa.array(names.view(np.int64)),
                 pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(_signed(prints), pa.int64()),
                 pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["place", "class", "n", "bands"])
+            return pa.RecordBatch.from_arrays(columns, ["place", "class", "n", "print", "bands"])
 
         return work
 
     kind = dict(docs.dtypes)["place"]
     rows = docs.select("place", F.coalesce("text", F.lit("")).alias("text"))
-    return map_batches(rows, build, f"place {kind}, class long, n long, bands array<long>")
+    return map_batches(rows, build, f"place {kind}, class long, n long, print long, bands array<long>")
+
+
+def _fit(n: str, m: str, least: float) -> Column:
+    """Sets of these sizes can be that similar."""
+    return F.least(n, m) >= F.lit(least) * F.greatest(n, m) - 1e-9
+
+
+def print_pairs(classes: DataFrame, least: float) -> DataFrame:
+    """(a, b): each of ``classes`` (class, n, print) with the least one that its fingerprint reaches."""
+    prints = classes.select(F.lit(0).alias("table"), "print").distinct()
+    rooted = components(stage(_links(prints, PRINT_BITS), "print-links"))
+    named = classes.join(rooted, classes["print"] == rooted["node"], "left")
+    named = named.select("class", "n", F.coalesce("root", "print").alias("reached"))
+    center = named.groupBy("reached").agg(
+        F.min(F.struct("class", "n")).alias("center"), F.count("*").alias("classes")
+    )
+    met = named.join(center.where("classes > 1"), "reached")
+    met = met.where((F.col("class") != F.col("center.class")) & _fit("n", "center.n", least))
+    return met.select(F.col("class").alias("a"), F.col("center.class").alias("b"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -164,8 +192,9 @@ def similar_groups(docs: DataFrame, shingle: int, least: float) -> DataFrame:
     ``place`` is never null and differs where texts differ.
     """
     sketched = stage(_sketched(docs, shingle), "sketches")
-    one = sketched.groupBy("class").agg(F.min(F.struct("place", "n", "bands")).alias("one"))
+    one = sketched.groupBy("class").agg(F.min(F.struct("place", "n", "print", "bands")).alias("one"))
     classes = stage(one.select("class", "one.*"), "shingle-classes")
+    by_print = stage(print_pairs(classes.select("class", "n", "print"), least), "print-pairs")
     keys = classes.select("class", "n", F.explode("bands").alias("key"))
     met = keys.groupBy("key").agg(
         F.min(F.struct("class", "n")).alias("center"), F.count("*").alias("classes")
@@ -174,19 +203,26 @@ def similar_groups(docs: DataFrame, shingle: int, least: float) -> DataFrame:
     met = stage(met.where("classes > 1").select("key", "center"), "shared-bands")
     entries = stage(keys.join(met, "key"), "band-entries")
 
-    def fits(n: str, m: str):
-        return F.least(n, m) / F.greatest(n, m) >= F.lit(least)
-
-    to_center = entries.where(F.col("class") != F.col("center.class")).where(fits("n", "center.n"))
-    to_center = to_center.select(F.col("class").alias("a"), F.col("center.class").alias("b"))
-    to_center = stage(to_center.distinct(), "center-pairs")
-    places = classes.select("class", "place").join(
-        entries.select("class").distinct(), "class", "left_semi"
-    )
+    named = F.explode(F.array("a", "b")).alias("class")
+    wanted = entries.select("class").unionByName(by_print.select(named)).distinct()
+    places = classes.select("class", "place").join(wanted, "class", "left_semi")
     # A row that repeats both id and text has the place of the other.
     texts = docs.select("place", "text").join(places, "place").groupBy("class")
     texts = stage(texts.agg(F.min(F.coalesce("text", F.lit(""))).alias("text")), "class-texts")
-    edges = stage(_verified(to_center, texts, shingle, least), "center-edges")
+    print_edges = stage(_verified(by_print, texts, shingle, least), "print-edges")
+    copies = stage(components(print_edges), "print-roots")
+
+    to_center = entries.where(F.col("class") != F.col("center.class"))
+    to_center = to_center.where(_fit("n", "center.n", least))
+    to_center = to_center.select(F.col("class").alias("a"), F.col("center.class").alias("b"))
+    of_a, of_b = (
+        copies.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")) for end in "ab"
+    )
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    to_center = to_center.distinct().join(of_a, "a", "left").join(of_b, "b", "left").where(apart)
+    to_center = stage(to_center.select("a", "b"), "center-pairs")
+    center_edges = stage(_verified(to_center, texts, shingle, least), "center-edges")
+    edges = print_edges.unionByName(center_edges)
 
     rooted = components(edges)
     found = entries.join(rooted, entries["class"] == rooted["node"], "left")
