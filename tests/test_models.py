@@ -357,3 +357,28 @@ def test_models_cover_the_holdout_rows(spark, sf_dir):
     assert len(forms) == len(orders) == products
     assert {r.form for r in forms} <= {*statespace.FORMS, ""}
     assert all(r.n_train >= 24 and 0 <= r.alpha <= 1 and r.sse >= 0 for r in weights)
+
+
+def test_stacked_search_finds_the_same_in_fewer_calls():
+    draw = np.random.default_rng(3)
+    y = np.round(draw.uniform(1, 60, (7, 30)))
+    y[0], y[1] = 5.0, np.arange(30.0)  # no noise; a zero, which no multiplicative form takes
+    for form in statespace.FORMS:
+        names = statespace.weights_of(form)
+        axes, bounds = ([held[name] for name in names] for held in (statespace.AXES, statespace.BOUNDS))
+        rows = {False: [], True: []}
+
+        def criterion(weights, stacked):
+            rows[stacked].append(len(weights))
+            if stacked:
+                return statespace.deviance_of(y, form, 12)(weights)
+            return statespace.deviance(y, form, 12, weights)
+
+        one, many = (
+            bounded_minimum(
+                lambda w: criterion(w, stacked), len(y), axes, bounds, 2, 2, 5, stacked=stacked
+            )
+            for stacked in (False, True)
+        )
+        assert np.array_equal(one[0], many[0]) and np.array_equal(one[1], many[1])
+        assert sum(rows[True]) == sum(rows[False]) and 2 * len(rows[True]) < len(rows[False])

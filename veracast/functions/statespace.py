@@ -79,69 +79,110 @@ def first_states(y: np.ndarray, form: str, season: int) -> tuple[np.ndarray, np.
     return level, slope, cycle
 
 
-def smoothed(y: np.ndarray, form: str, season: int, weights: np.ndarray, horizon: int = 0):
-    """(squared error, sum of squared relative errors, sum of log forecasts, forecasts) per series."""
-    named = dict(zip(weights_of(form), weights.T))
+def _prepared(y: np.ndarray, form: str, season: int) -> tuple[np.ndarray, ...]:
+    """A row per month of quantities, and the first states; what no weights change."""
+    level, slope, cycle = first_states(y, form, season)
+    return np.ascontiguousarray(y.T), level, slope, np.ascontiguousarray(cycle.T)
+
+
+def _run(
+    prepared: tuple[np.ndarray, ...], form: str, season: int, weights: np.ndarray, horizon: int,
+    squared: bool = True, relatively: bool = True,
+):
+    """``smoothed`` of prepared series; sums that aren't wanted stay zero.
+
+    With a multiple of the series as weights, they go through one after the other in one matrix.
+    """
+    times = len(weights) // len(prepared[1])
+    if times > 1:
+        prepared = tuple(np.tile(x, times) for x in prepared)
+    months, level, slope, cycle = prepared
+    named = dict(zip(weights_of(form), np.ascontiguousarray(weights.T)))
     alpha = named["alpha"]
     beta = alpha * named["beta"] if "beta" in named else 0.0
     gamma = (1 - alpha) * named["gamma"] if "gamma" in named else 0.0
     phi = named.get("phi", 1.0)
+    damped = "phi" in named
     trend, kind = form[1] != "N", form[2]
-    level, slope, cycle = first_states(y, form, season)
+    relatively = relatively and form[0] == "M"
     cycle = cycle.copy()
-    squares, relative, logs = np.zeros(len(y)), np.zeros(len(y)), np.zeros(len(y))
+    squares, relative, logs = np.zeros(len(level)), np.zeros(len(level)), np.zeros(len(level))
     with np.errstate(all="ignore"):
-        for t in range(y.shape[1]):
+        for t in range(len(months)):
             slot = t % season
-            base = level + phi * slope if trend else level
-            s = cycle[:, slot]
+            along = phi * slope if damped else slope
+            base = level + along if trend else level
+            s = cycle[slot]
             mu = base if kind == "N" else base + s if kind == "A" else base * s
-            e = y[:, t] - mu
-            squares += e * e
-            if form[0] == "M":
-                relative += np.where(mu > 0, (e / mu) ** 2, np.inf)
+            e = months[t] - mu
+            if squared:
+                squares += e * e
+            if relatively:
+                share = (e / mu) ** 2
+                unfit = ~(mu > 0)
+                if unfit.any():
+                    share[unfit] = np.inf
+                relative += share
                 logs += np.log(np.abs(mu))
             per_level = e / s if kind == "M" else e
             if kind != "N":
-                cycle[:, slot] = s + gamma * (e / base if kind == "M" else e)
+                cycle[slot] = s + gamma * (e / base if kind == "M" else e)
             level = base + alpha * per_level
             if trend:
-                slope = phi * slope + beta * per_level
+                slope = along + beta * per_level
         ahead, out, damp, total = phi, [], phi, 0.0
         for h in range(horizon):
             total, damp = total + damp, damp * ahead
             base = level + (total if trend else 0.0) * slope
-            s = cycle[:, (y.shape[1] + h) % season]
+            s = cycle[(len(months) + h) % season]
             out.append(base if kind == "N" else base + s if kind == "A" else base * s)
-    forecasts = np.stack(out, axis=1) if out else np.zeros((len(y), 0))
+    forecasts = np.stack(out, axis=1) if out else np.zeros((len(level), 0))
     return squares, relative, logs, forecasts
 
 
+def smoothed(y: np.ndarray, form: str, season: int, weights: np.ndarray, horizon: int = 0):
+    """(squared error, sum of squared relative errors, sum of log forecasts, forecasts) per series."""
+    return _run(_prepared(y, form, season), form, season, weights, horizon)
+
+
 def deviance(y: np.ndarray, form: str, season: int, weights: np.ndarray) -> np.ndarray:
     """-2 log likelihood up to a constant; infinite where a form doesn't suit a series."""
-    squares, relative, logs, _ = smoothed(y, form, season, weights)
-    n = y.shape[1]
+    return deviance_of(y, form, season)(weights)
+
+
+def deviance_of(y: np.ndarray, form: str, season: int):
+    """``deviance`` as a function of weights: a row per series, or several times that."""
+    prepared, n = _prepared(y, form, season), y.shape[1]
+    size = np.maximum(np.abs(y).mean(axis=1), 1e-9)
     # A perfect fit has no likelihood; this bound lets forms of fewer parameters win then.
-    floor = n * (1e-9 * np.maximum(np.abs(y).mean(axis=1), 1e-9)) ** 2
-    with np.errstate(all="ignore"):
-        if form[0] == "A":
-            return n * np.log(np.maximum(squares, floor))
-        scale = np.maximum(np.abs(y).mean(axis=1), 1e-9) ** 2
-        found = n * np.log(np.maximum(relative, floor / scale)) + 2 * logs
-    return np.where((y > 0).all(axis=1), found, np.inf)
+    floor = n * (1e-9 * size) ** 2
+    additive, usable = form[0] == "A", (y > 0).all(axis=1)
+
+    def found(weights: np.ndarray) -> np.ndarray:
+        squares, relative, logs, _ = _run(prepared, form, season, weights, 0, additive, not additive)
+        times = len(weights) // len(y)
+        with np.errstate(all="ignore"):
+            if additive:
+                return n * np.log(np.maximum(squares, np.tile(floor, times)))
+            least = np.tile(floor / size**2, times)
+            value = n * np.log(np.maximum(relative, least)) + 2 * logs
+        return np.where(np.tile(usable, times), value, np.inf)
+
+    return found
 
 
 def fit_form(y: np.ndarray, form: str, season: int) -> tuple[np.ndarray, np.ndarray]:
     """(weights, AICc) of one form for each series."""
     names = weights_of(form)
     weights, found = bounded_minimum(
-        lambda w: deviance(y, form, season, w),
+        deviance_of(y, form, season),
         len(y),
         [AXES[name] for name in names],
         [BOUNDS[name] for name in names],
         starts=2,
         rounds=2,
         cuts=5,
+        stacked=True,
     )
     k, n = n_parameters(form, season), y.shape[1]
     if n - k - 1 <= 0:
