@@ -194,3 +194,15 @@ def test_too_many_bad_rows_leave_the_table(spark, tmp_path):
     write(folder, "a.csv")
     loaded = quarantine.load_csv_checked(spark, str(folder), str(table), bad, KIND)
     assert loaded == quarantine.Loaded(0, 0) and spark.read.parquet(str(table)).count() == 0
+
+
+def test_states_are_shuffled_once(spark):
+    rows = spark.createDataFrame(list(audit()), ROWS)
+    dealt, plain = monthly_state.dealt_states(rows), monthly_state.month_states(rows)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "date_month" in plan.split("Exchange hashpartitioning(")[1].split(")")[0]
+
+    def shown(df):
+        return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
+
+    assert shown(dealt) == shown(plain)

@@ -18,23 +18,38 @@ from veracast.operators.accuracy import TERMS, error_rows, performance_of_months
 KEY = ("product_id", "algo_name", "date_month")
 
 
-def month_states(rows: DataFrame) -> DataFrame:
-    """One row of sums per product, algorithm and month of normalised rows; no month, no state."""
+def month_states(rows: DataFrame, *along: str) -> DataFrame:
+    """One row of sums per product, algorithm and month of normalised rows; no month, no state.
+
+    Columns ``along`` follow from a row's product.
+    """
     return (
         error_rows(rows.where(F.col("date_month").isNotNull()))
-        .groupBy(*KEY)
+        .groupBy(*KEY, *along)
         .agg(*[F.expr(total).alias(name) for name, total in TERMS.items()])
     )
 
 
+def dealt_states(rows: DataFrame) -> DataFrame:
+    """``month_states`` in the layout of their files.
+
+    Rows are dealt to files before they fold, so quantities are shuffled once, and sums never.
+    """
+    product = "sku_id" if "sku_id" in rows.columns else "product_id"
+    quantities = rows.select(product, "algo_name", "date_month", "actual_qty", "forecast_qty")
+    file = F.pmod(F.xxhash64(product), F.lit(8))
+    dealt = quantities.withColumn("_file", file).repartition("date_month", "_file")
+    return month_states(dealt, "_file").drop("_file")
+
+
 def load_months(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Fold ``rows`` and replace the months that they have in the states at ``path``.
 
     ``rows`` must hold these months whole. Nothing stored is read. Without rows nothing changes.
     """
-    writer = month_states(rows).repartition("date_month", F.pmod(F.xxhash64("product_id"), F.lit(8)))
     (
-        writer.write.format(fmt)
+        dealt_states(rows)
+        .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date_month")
