@@ -206,3 +206,13 @@ def test_a_month_without_a_quantity_keeps_its_row(spark):
     )
     wide = silver.forecasts_by_month(raw, attributes=False).select(F.inline("forecasts"))
     assert sorted(map(tuple, wide.collect())) == [("ARIMAX", 3.0), ("ETS", 0.0)]
+
+
+def test_tasks_of_all_windows_grow_with_the_rows(spark, rows, monkeypatch):
+    monkeypatch.setattr(accuracy, "ROWS_PER_TASK", 1_000)
+    least = spark.sparkContext.defaultParallelism
+    assert accuracy.task_count(spark, 10) == least and accuracy.task_count(spark, 100_001) == 101
+    many = accuracy.performance_all_windows(rows, ANCHOR, 24, accuracy.task_count(spark, 100_001))
+    assert many.rdd.getNumPartitions() == 101
+    usual = accuracy.performance_all_windows(rows, ANCHOR)
+    assert many.exceptAll(usual).isEmpty() and many.count() == usual.count()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veracast.functions.errors import product_errors, safe_tracking_signal
@@ -105,8 +105,17 @@ def performance_by_union(df: DataFrame, anchor: Anchor, windows: Iterable[int])
     return out
 
 
+# At most so many rows are folded and sorted by a task of ``performance_all_windows``.
+ROWS_PER_TASK = 1_000_000
+
+
+def task_count(spark: SparkSession, rows: int) -> int:
+    """Tasks for so many rows: a task's memory stays the same at any size."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+
+
 def performance_all_windows(
-    df: DataFrame, anchor: Anchor, windows: int | Iterable[int] = 24
+    df: DataFrame, anchor: Anchor, windows: int | Iterable[int] = 24, tasks: int | None = None
 ) -> DataFrame:
     """Many window lengths (1 to ``windows``, or those listed) without repeating rows per window.
 
@@ -115,7 +124,9 @@ def performance_all_windows(
     longer window until the next observed month. So each (product, algorithm) sorts at most
     as many rows as the longest window has months, and only the result cells are produced.
     Months and windows both group below (product, algorithm), so one shuffle on that pair serves
-    both; the input has about a row per month, which folding before it would not shrink.
+    both; the input has about a row per month, which folding before it would not shrink. ``tasks``
+    is the number of tasks that share it; without it Spark goes by the bytes shuffled, which are
+    a small part of the memory that the sums take.
     """
     lengths = sorted(set(range(1, windows + 1) if isinstance(windows, int) else windows))
     longest = lengths[-1]
@@ -123,7 +134,7 @@ def performance_all_windows(
         window_filter(error_rows(df), anchor, longest)
         .withColumn("_age", months_ago(F.col("date_month"), anchor))
         .filter((F.col("_age") >= 0) & (F.col("_age") < longest))
-        .repartition("product_id", "algo_name")
+        .repartition(*([] if tasks is None else [tasks]), "product_id", "algo_name")
     )
     monthly = rows.groupBy("product_id", "algo_name", "_age").agg(
         *[F.expr(total).alias(name) for name, total in TERMS.items()]
