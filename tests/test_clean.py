@@ -20,6 +20,16 @@ def test_month_formats(spark):
     assert months == [march] * 4 + [None] * 4
 
 
+def test_only_whole_month_texts_are_months(spark):
+    """A cast reads more than the accepted formats; the patterns of a date are no longer used."""
+    texts = ["2024-3-17", "2024-03-1T", "2024-03\n", "2024-02-30", "+024-03-11", "2024-00", "00/2024",
+             "2024-03-17T", "2024-03-17 x", "12024-03", "03/12024", "2024", "\u0662024-03", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "periode string")
+    aligned = clean.align_month(df)
+    assert [r.periode for r in aligned.collect()] == [None] * len(texts)
+    assert "gettimestamp" not in aligned._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_month_of_a_date_column(spark):
     df = spark.createDataFrame([(dt.date(2024, 3, 17),)], "periode date")
     assert clean.align_month(df).first().periode == dt.date(2024, 3, 1)

@@ -14,7 +14,7 @@ from veracast.operators import accuracy, horizons, leadtime, segment_kpis, summa
 from veracast.operators import clean, silver
 from veracast.plans import catalog, pipeline
 from veracast.sources import lake
-from veracast.sources.scratch import stage
+from veracast.sources.scratch import stage, stage_in_buckets
 
 PYTHON_ALLOWED = {
     "backtest_holt_winters",
@@ -216,3 +216,66 @@ def test_tasks_of_all_windows_grow_with_the_rows(spark, rows, monkeypatch):
     assert many.rdd.getNumPartitions() == 101
     usual = accuracy.performance_all_windows(rows, ANCHOR)
     assert many.exceptAll(usual).isEmpty() and many.count() == usual.count()
+
+
+def test_feeds_in_buckets_fold_and_join_in_place(spark, sf_dir):
+    """Above the staged demand nothing is shuffled by product or month, whatever may be broadcast."""
+    raw = catalog.orderbook.raw_tables(spark, sf_dir)
+    assert "hashpartitioning" not in plan(silver.forecasts_by_month(raw.forecasts, in_place=True))
+    buckets = catalog.orderbook.bucket_count(spark, sf_dir)
+    keep = lambda df, label: stage_in_buckets(df, label, buckets, "sku_id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = silver.build_silver(raw, catalog.PROCESSED_AT, "plans", keep=keep, in_place=True)
+        text = plan(built)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(sku_id" in text and "periode" not in "".join(
+        line for line in text.splitlines() if "Exchange" in line
+    )
+    plain = silver.build_silver(raw, catalog.PROCESSED_AT, "plans")
+    assert built.exceptAll(plain).isEmpty() and plain.exceptAll(built).isEmpty()
+
+
+def test_buckets_grow_with_the_lines(spark, sf_dir, monkeypatch):
+    lines = catalog.orderbook.table(spark, sf_dir, "lineitem").count()
+    assert catalog.orderbook.bucket_count(spark, sf_dir) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(catalog.orderbook, "LINES_PER_BUCKET", 100)
+    assert catalog.orderbook.bucket_count(spark, sf_dir) == -(-lines // 100)
+
+
+def test_naive_forecast_of_months_is_that_of_rows(spark, sf_dir):
+    """Known before months part into rows, it needs neither their products nor a shuffle of them."""
+    made = catalog._silver(spark, sf_dir, catalog.SEGMENT_ROWS)
+    assert not {"sku_id", "periode"} & set(made.columns)
+    assert "hashpartitioning(sku_id" not in plan(segment_kpis.segment_performance(made))
+    found = catalog.comparable(segment_kpis.segment_performance(made))
+    of_rows = catalog.comparable(segment_kpis.segment_performance(catalog._silver(spark, sf_dir, catalog.SEGMENT_INPUT)))
+    assert sorted(map(str, found.collect())) == sorted(map(str, of_rows.collect()))
+
+
+def test_forecasts_with_attributes_fold_alike_in_place(spark):
+    rows = [("a", "2020-01", "ETS", 2.0, "d", None), ("a", "01/2020", "ETS", 2.0, "c", "t"),
+            ("a", "2020-01", "ETS", None, "b", "s"), ("a", "2020-01", "ARIMAX", None, "d", "t"),
+            ("a", "2020-01", "ARIMAX", None, None, "t"), ("b", None, "STLF", -1.0, None, None),
+            ("b", "2020-02", "Unknown", 1.0, "d", "t")]
+    raw = spark.createDataFrame(
+        rows, "sku_id string, periode string, algorithme string, forecast_qty double, dci string, atc4 string"
+    )
+    found, plain = (
+        sorted(silver.forecasts_by_month(raw, in_place=p).select("sku_id", F.inline("forecasts")).collect(), key=str)
+        for p in (True, False)
+    )
+    assert found == plain
+    assert [tuple(r) for r in found] == [
+        ("a", "ARIMAX", 0.0, "d", "t"), ("a", "ETS", 2.0, "c", "t"), ("b", "STLF", -1.0, None, None)
+    ]
+
+
+def test_whole_values_are_compared_as_they_are(spark):
+    values = [-0.0, 3.0, 1e14, 0.1234565, -2.0000005, 1e18, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r.v for r in catalog.comparable(df).orderBy("i").collect()]
+    assert got == [0.0, 3.0, 1e14, 0.123457, -2.000001, 1e18, None] and str(got[0]) == "0.0"
+    assert "CASE WHEN ((v" in optimized(catalog.comparable(df))

@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Anchor = Column | dt.date
+# Accepted shapes of a month as text; a cast alone would take more.
+_ISO, _SLASH = r"^[0-9]{4}-[0-9]{2}(-[0-9]{2})?\z", r"^[0-9]{2}/[0-9]{4}\z"
 
 
 def as_column(anchor: Anchor) -> Column:
@@ -27,17 +29,9 @@ def months_ago(month: Column, anchor: Anchor) -> Column:
 def parse_month(text: Column) -> Column:
     """First day of the month from ``yyyy-MM-dd``, ``yyyy-MM`` or ``MM/yyyy``; else null.
 
-    The shape is tested first, so each value is parsed once with the pattern that fits it.
+    The shape is tested first; a cast then reads the value, many times faster than a pattern does.
     """
     t = F.trim(text)
-    return (
-        F.when(F.length(t) == 10, F.trunc(F.try_to_date(t, "yyyy-MM-dd"), "month"))
-        .when(
-            (F.length(t) == 7) & (F.substring(t, 5, 1) == "-"),
-            F.try_to_date(F.concat(t, F.lit("-01")), "yyyy-MM-dd"),
-        )
-        .when(
-            (F.length(t) == 7) & (F.substring(t, 3, 1) == "/"),
-            F.try_to_date(F.concat(F.lit("01/"), t), "dd/MM/yyyy"),
-        )
-    )
+    swapped = F.concat(F.substring(t, 4, 4), F.lit("-"), F.substring(t, 1, 2))
+    month = F.when(t.rlike(_ISO), t.try_cast("date")).when(t.rlike(_SLASH), swapped.try_cast("date"))
+    return F.trunc(month, "month")

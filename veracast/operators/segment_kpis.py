@@ -35,8 +35,11 @@ def with_previous_actual(silver: DataFrame) -> DataFrame:
 
     All algorithms of a month carry the same actual, so a frame that ends one month earlier
     gives the lag over distinct months directly, without building that table and joining it
-    back. A product has at most one row per month and algorithm.
+    back. A product has at most one row per month and algorithm. ``build_silver`` can find the
+    column before it parts months into rows; then it is taken as it is.
     """
+    if "forecast_naive" in silver.columns:
+        return silver
     earlier = (
         Window.partitionBy("sku_id")
         .orderBy(month_index(F.col("periode")))

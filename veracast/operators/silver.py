@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracast.config import Settings
@@ -33,6 +33,8 @@ from veracast.sources.scratch import stage
 
 STAGES = ("lt_besoins_jours", "lt_fabrication_jours", "lt_liberation_jours", "lt_diffusion_jours")
 MONTH_KEY = ["sku_id", "periode"]
+# Not a column of Silver, but one that can be asked for: the actual of the previous observed month.
+NAIVE = "forecast_naive"
 
 
 @dataclass(frozen=True)
@@ -52,7 +54,10 @@ def clean_forecasts(raw: DataFrame, settings: Settings = Settings()) -> DataFram
 
 
 def forecasts_by_month(
-    raw: DataFrame, settings: Settings = Settings(), attributes: bool = True
+    raw: DataFrame,
+    settings: Settings = Settings(),
+    attributes: bool = True,
+    in_place: bool = False,
 ) -> DataFrame:
     """The rows of ``clean_forecasts`` as one row per product and month, in ``forecasts``.
 
@@ -60,6 +65,10 @@ def forecasts_by_month(
     them fold before one shuffle, on the key that the other feeds have too. Without ``attributes``
     a row's quantity alone is kept; it decides first which row is smallest, so it is a plain ``min``,
     by hashing and not by sorting.
+
+    With attributes a row is compared as a struct, which sorts. Where ``in_place`` says that rows lie
+    by product, so that a second grouping needs no exchange, they fold by hashing to a row for each
+    pair of attributes first, and the structs compare those.
     """
     df = require_columns(raw, column_names(RAW_FORECASTS), "raw forecasts")
     df = known_algorithms(align_month(df), settings.valid_algorithms)
@@ -84,8 +93,26 @@ def forecasts_by_month(
         kept = F.struct(F.lit(algorithm).alias("algorithme"), quantity, *others)
         return F.when(row.isNotNull(), kept)
 
+    def least_of_pairs(algorithm: str) -> Column:
+        pairs = F.col("_bits").bitwiseAND(F.lit(bits[algorithm]).cast("long")) != 0
+        quantity = F.col(f"_least_{bits[algorithm]}")
+        compared = F.struct(
+            quantity.isNull().alias("_no"), quantity.alias("forecast_qty"), nulls_last(pair).alias("_pair")
+        )
+        row = F.min(F.when(pairs, compared))
+        quantity = F.coalesce(row.getField("forecast_qty"), F.lit(0.0)).alias("forecast_qty")
+        others = [row.getField("_pair").getField(c).alias(c) for c in pair]
+        return F.when(row.isNotNull(), F.struct(F.lit(algorithm).alias("algorithme"), quantity, *others))
+
     one = best if attributes else least
-    df = df if attributes else df.withColumn("_bit", bit)
+    df = df if attributes and not in_place else df.withColumn("_bit", bit)
+    if attributes and in_place:
+        one, pair = least_of_pairs, [c for c in rest if c != "forecast_qty"]
+        quantities = [
+            F.min(F.when(F.col("_bit") == value, F.col("forecast_qty"))).alias(f"_least_{value}")
+            for value in bits.values()
+        ]
+        df = df.groupBy(*MONTH_KEY, *pair).agg(F.bit_or("_bit").alias("_bits"), *quantities)
     every = F.array(*[one(a) for a in settings.valid_algorithms])
     return df.groupBy(*MONTH_KEY).agg(F.array_compact(every).alias("forecasts"))
 
@@ -132,6 +159,7 @@ def build_silver(
     settings: Settings = Settings(),
     keep: Callable[[DataFrame, str], DataFrame] = stage,
     columns: Sequence[str] | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """Clean the four feeds and join them on (sku, month), keeping future forecasts.
 
@@ -145,9 +173,14 @@ def build_silver(
 
     ``columns`` names the columns that are wanted, all of Silver's if it is missing. Feeds that give
     none of them are not read, and a feed of which only the first column is wanted folds by hashing.
+    It may name ``forecast_naive`` too, which is found while a month still is one row: the lag of the
+    actuals over the months of a product's forecasts.
+
+    Feeds that lie in buckets of the product, with ``keep`` laying out the actuals alike, are folded
+    and joined in place; ``in_place`` says that they do.
     """
-    names = column_names(SILVER)
-    wanted = names if columns is None else [c for c in names if c in columns]
+    names = [*column_names(SILVER), NAIVE]
+    wanted = names[:-1] if columns is None else [c for c in names if c in columns]
     attributes = "dci" in wanted or "atc4" in wanted
     supplies = [c for c in ("nb_ruptures", "qty_commandee", "qty_facturee") if c in wanted]
     if "flag_rupture" in wanted and "nb_ruptures" not in supplies:
@@ -157,8 +190,8 @@ def build_silver(
         "sku_id", "segment_abc", "segment_xyz", "segment_abcxyz", "mape_cible_pct", "cv",
         "ca_total_12m",
     )
-    joined = (
-        forecasts_by_month(raw.forecasts, settings, attributes)
+    months = (
+        forecasts_by_month(raw.forecasts, settings, attributes, in_place)
         .join(
             actuals.select(*MONTH_KEY, "ventes_reelles_qty", "ventes_reelles_valeur"),
             MONTH_KEY,
@@ -174,7 +207,12 @@ def build_silver(
             MONTH_KEY,
             "left",
         )
-        .join(segments, "sku_id", "left")
+    )
+    if NAIVE in wanted:
+        of_product = Window.partitionBy("sku_id").orderBy("periode")
+        months = months.withColumn(NAIVE, F.lag("ventes_reelles_qty").over(of_product))
+    joined = (
+        months.join(segments, "sku_id", "left")
         .select("*", F.inline("forecasts"))
         .drop("forecasts")
         .withColumns({c: v for c, v in gap_columns().items() if c in wanted})

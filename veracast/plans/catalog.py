@@ -28,7 +28,7 @@ from veracast.operators import segmentation, silver, summary, value_added
 from veracast.schemas import RAW_ACTUALS, conform
 from veracast.plans import colocated, orderbook
 from veracast.sources import lake, quarantine
-from veracast.sources.scratch import fresh_path, stage
+from veracast.sources.scratch import fresh_path, stage, stage_in_buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,7 +43,10 @@ BUILDS: dict[str, Query] = {}
 def comparable(df: DataFrame) -> DataFrame:
     def shown(field):
         if isinstance(field.dataType, DoubleType):
-            return rounded(F.col(field.name), 6).alias(field.name)
+            value = F.col(field.name)
+            # Most quantities are whole: there is nothing to round, and a decimal takes long to make.
+            whole = (value == F.rint(value)) & (F.abs(value) < 1e15)
+            return F.when(whole, value + 0.0).otherwise(rounded(value, 6)).alias(field.name)
         if isinstance(field.dataType, DecimalType):
             return F.col(field.name).cast("double").alias(field.name)
         if isinstance(field.dataType, TimestampType):
@@ -103,15 +106,20 @@ SEGMENT_INPUT = (
     "sku_id", "periode", "algorithme", "forecast_qty", "ventes_reelles_qty", "segment_abc",
     "segment_xyz", "segment_abcxyz",
 )
+# The same with the naive forecast at hand, for which products and months are needed otherwise.
+SEGMENT_ROWS = (*[c for c in SEGMENT_INPUT if c not in silver.MONTH_KEY], silver.NAIVE)
 
 
 def _silver(spark, sf_dir, columns=None):
+    buckets = orderbook.bucket_count(spark, sf_dir)
     return silver.build_silver(
         orderbook.raw_tables(spark, sf_dir),
         PROCESSED_AT,
         "order lines",
         SETTINGS,
+        keep=lambda df, label: stage_in_buckets(df, label, buckets, "sku_id"),
         columns=columns,
+        in_place=True,
     )
 
 
@@ -127,7 +135,7 @@ def _impact(spark, sf_dir):
 
 
 def _segment_perf(spark, sf_dir):
-    return segment_kpis.segment_performance(_silver(spark, sf_dir, SEGMENT_INPUT), SETTINGS)
+    return segment_kpis.segment_performance(_silver(spark, sf_dir, SEGMENT_ROWS), SETTINGS)
 
 
 def _evaluation(spark, sf_dir):
@@ -756,7 +764,7 @@ def perf_segment(spark, sf_dir):
 
 @query
 def fva_segment(spark, sf_dir):
-    return segment_kpis.segment_value_added(_silver(spark, sf_dir, SEGMENT_INPUT), SETTINGS)
+    return segment_kpis.segment_value_added(_silver(spark, sf_dir, SEGMENT_ROWS), SETTINGS)
 
 
 @query
@@ -781,13 +789,13 @@ def m_theil(spark, sf_dir):
 
 @query
 def m_fva(spark, sf_dir):
-    fva = segment_kpis.segment_value_added(_silver(spark, sf_dir, SEGMENT_INPUT), SETTINGS)
+    fva = segment_kpis.segment_value_added(_silver(spark, sf_dir, SEGMENT_ROWS), SETTINGS)
     return measures.value_added(fva, ["segment_abc"])
 
 
 @query
 def m_best_algo(spark, sf_dir):
-    fva = segment_kpis.segment_value_added(_silver(spark, sf_dir, SEGMENT_INPUT), SETTINGS)
+    fva = segment_kpis.segment_value_added(_silver(spark, sf_dir, SEGMENT_ROWS), SETTINGS)
     return measures.best_algorithm(fva, ["segment_abc"])
 
 
@@ -809,14 +817,14 @@ def m_leadtime(spark, sf_dir):
 
 @query
 def m_mape_by_leadtime(spark, sf_dir):
-    rows = _staged_silver(spark, sf_dir, (*SEGMENT_INPUT, "lt_total_jours"))
+    rows = _staged_silver(spark, sf_dir, (*SEGMENT_ROWS, "lt_total_jours"))
     perf = segment_kpis.segment_performance(rows, SETTINGS)
     return measures.mape_by_lead_time(perf, rows, ["algorithme"], SETTINGS)
 
 
 def _model(spark, sf_dir):
     """The tables that filters travel between."""
-    rows = _staged_silver(spark, sf_dir, (*SEGMENT_INPUT, "lt_total_jours", "flag_rupture"))
+    rows = _staged_silver(spark, sf_dir, (*SEGMENT_ROWS, "lt_total_jours", "flag_rupture"))
     totals = stage(segment_kpis.segment_totals(rows), "segment-totals")
     perf = segment_kpis.performance_of_totals(totals, SETTINGS)
     return {
@@ -897,7 +905,7 @@ def m_rupture(spark, sf_dir):
 
 @query
 def m_mape_by_rupture(spark, sf_dir):
-    rows = _staged_silver(spark, sf_dir, (*SEGMENT_INPUT, "flag_rupture"))
+    rows = _staged_silver(spark, sf_dir, (*SEGMENT_ROWS, "flag_rupture"))
     perf = segment_kpis.segment_performance(rows, SETTINGS)
     return measures.mape_by_rupture(perf, rows, ["algorithme"])
 
@@ -910,7 +918,7 @@ def m_alerts(spark, sf_dir):
 
 @query
 def m_monitoring(spark, sf_dir):
-    rows = _staged_silver(spark, sf_dir, (*SEGMENT_INPUT, "date_traitement"))
+    rows = _staged_silver(spark, sf_dir, ("sku_id", *SEGMENT_ROWS, "date_traitement"))
     perf = stage(segment_kpis.segment_performance(rows, SETTINGS), "segment-performance")
     return measures.monitoring(rows, perf)
 
@@ -927,6 +935,6 @@ def m_benchmark(spark, sf_dir):
 
 @query
 def m_exec_summary(spark, sf_dir):
-    rows = _staged_silver(spark, sf_dir, (*SEGMENT_INPUT, "date_traitement"))
+    rows = _staged_silver(spark, sf_dir, ("sku_id", *SEGMENT_ROWS, "date_traitement"))
     perf = stage(segment_kpis.segment_performance(rows, SETTINGS), "segment-performance")
     return measures.executive_summary(rows, perf, segment_kpis.segment_alerts(perf, SETTINGS))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracast.operators.silver import RawTables
-from veracast.sources.scratch import stage
+from veracast.sources.scratch import stage_in_buckets
 
 # Labels of the derived forecasts by model number; no such model is fitted.
 MODELS = ("Prophet", "ARIMAX", "ETS", "Expert_DP")
@@ -21,6 +21,9 @@ PLANNER = MODELS.index("Expert_DP") + 1
 UNKNOWN_ALGORITHM = "Unknown_Model"
 
 SKU = "cast(k as string) AS sku_id"
+# Lines of a bucket of the staged demand; what a task sorts of them stays the same at any size.
+LINES_PER_BUCKET = 250_000
+FUTURE_MONTHS = 3
 # The three spellings a raw month arrives in.
 MONTH_TEXT = """CASE WHEN n_returned > 0 THEN date_format(m, 'MM/yyyy')
     WHEN billed > 0 THEN date_format(m, 'yyyy-MM') ELSE date_format(m, 'yyyy-MM-dd') END
@@ -122,6 +125,11 @@ def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _keys(demand: DataFrame) -> list[str]:
+    """A raw row's product and month text; a staged demand has them, and its layout is by them."""
+    return ["sku_id", "periode"] if "sku_id" in demand.columns else [SKU, MONTH_TEXT]
+
+
 def raw_actuals(demand: DataFrame) -> DataFrame:
     """Months with returns are delivered twice, the second time with gross quantity.
 
@@ -131,8 +139,7 @@ def raw_actuals(demand: DataFrame) -> DataFrame:
         demand
         .withColumn("delivery", F.expr("explode(sequence(1, if(n_returned > 0, 2, 1)))"))
         .selectExpr(
-            SKU,
-            MONTH_TEXT,
+            *_keys(demand),
             "cast(if(delivery = 1, nullif(qty, 0), gross) as double) AS ventes_reelles_qty",
             "value AS ventes_reelles_valeur",
         )
@@ -140,35 +147,40 @@ def raw_actuals(demand: DataFrame) -> DataFrame:
 
 
 def raw_forecasts(demand: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four algorithms, one unknown label, and three future months without actuals."""
-    columns = ["algo_name AS algorithme", "forecast_qty"]
-    past = _per_algorithm(demand, UNKNOWN_ALGORITHM, "CASE WHEN n_returned > 0 THEN gross END")
-    future = (
-        demand.filter(F.col("m") == last_month(spark, sf_dir))
-        .withColumn("ahead", F.expr("explode(array(1, 2, 3))"))
+    """Four algorithms, one unknown label, and three future months without actuals.
+
+    Parts join the months, and a month parts into its rows afterwards: for the models, for the
+    unknown label, and in the newest month for those ahead, which are numbered after the others.
+    """
+    parts = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "k")
+    parts = parts.selectExpr(SKU, "p_type", "p_brand")
+    last, unknown = last_month(spark, sf_dir), len(MODELS) + 1
+    names = [*MODELS, UNKNOWN_ALGORITHM, *["ETS"] * FUTURE_MONTHS]
+    past = F.array(*[F.lit(n) for n in range(1, unknown + 1)])
+    every = F.array(*[F.lit(n) for n in range(1, len(names) + 1)])
+    return (
+        demand.withColumns(dict(zip(("sku_id", "periode"), map(F.expr, _keys(demand)))))
+        .join(parts, "sku_id", "left")
+        .withColumn("model", F.explode(F.when(F.col("m") == last, every).otherwise(past)))
+        .filter(f"model <> {PLANNER} OR n_reviewed > 0")
+        .filter(f"model <> {unknown} OR (n_returned > 0 AND gross IS NOT NULL)")
         .selectExpr(
-            "k",
-            "date_format(add_months(m, ahead), 'yyyy-MM') AS periode",
-            "'ETS' AS algorithme",
-            "cast(qty as double) AS forecast_qty",
+            "sku_id",
+            f"CASE WHEN model <= {unknown} THEN periode"
+            f" ELSE date_format(add_months(m, model - {unknown}), 'yyyy-MM') END AS periode",
+            f"element_at(array({', '.join(map(repr, names))}), model) AS algorithme",
+            f"CASE WHEN model < {unknown} THEN {_forecast('model')} WHEN model = {unknown}"
+            " THEN cast(gross as double) ELSE cast(qty as double) END AS forecast_qty",
+            "p_type AS dci",
+            "p_brand AS atc4",
         )
     )
-    parts = table(spark, sf_dir, "part").selectExpr(
-        "p_partkey AS k", "p_type AS dci", "p_brand AS atc4"
-    )
-    return (
-        past.selectExpr("k", MONTH_TEXT, *columns)
-        .unionByName(future)
-        .join(parts, "k", "left")
-        .selectExpr(SKU, "periode", "algorithme", "forecast_qty", "dci", "atc4")
-    )
 
 
 def raw_lead_times(demand: DataFrame) -> DataFrame:
     """Four stages per part and month; release days are unknown for unreviewed months."""
     return demand.selectExpr(
-        SKU,
-        MONTH_TEXT,
+        *_keys(demand),
         "15 + k % 60 AS lt_besoins_jours",
         "5 + gross % 15 AS lt_fabrication_jours",
         "CASE WHEN n_reviewed > 0 THEN 7 + (k + mi) % 7 END AS lt_liberation_jours",
@@ -178,20 +190,29 @@ def raw_lead_times(demand: DataFrame) -> DataFrame:
 
 def raw_supply_chain(demand: DataFrame) -> DataFrame:
     return demand.selectExpr(
-        SKU,
-        MONTH_TEXT,
+        *_keys(demand),
         "n_returned AS nb_ruptures",
         "cast(gross as double) AS qty_commandee",
         "cast(billed as double) AS qty_facturee",
     )
 
 
+def bucket_count(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets of the staged demand, a task each; Parquet knows how many lines there are."""
+    lines = table(spark, sf_dir, "lineitem").count()
+    return max(spark.sparkContext.defaultParallelism, -(-lines // LINES_PER_BUCKET))
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """The four raw feeds over one staged copy of the demand, so the lines are shuffled once.
 
-    Runs a job.
+    The copy lies in buckets of the product, which all feeds keep as a column, so what groups,
+    windows or joins them by product, or by product and month, finds them laid out for it. The lines
+    are folded first: a product has a row a month at most. Runs a job.
     """
-    demand = stage(monthly_demand(spark, sf_dir), "demand")
+    buckets = bucket_count(spark, sf_dir)
+    demand = monthly_demand(spark, sf_dir).selectExpr("*", SKU, MONTH_TEXT)
+    demand = stage_in_buckets(demand.repartition(buckets, "sku_id"), "demand", buckets, "sku_id")
     return RawTables(
         forecasts=raw_forecasts(demand, spark, sf_dir),
         actuals=raw_actuals(demand),
