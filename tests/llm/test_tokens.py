@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from veracast.llm import dac, token_files
-from veracast.llm.tokens import encoder, tokenizer_path
+from veracast.llm.tokens import PieceEncoder, Recent, encoder, tokenizer_path
 
 FILES = ("word_bpe_49k.json", "byte_bpe_50k.json")
 TRICKY = st.text(st.sampled_from("aBz é'É\n.,!1t\tß½ \x00\x01\x0b ́Σσ🎉<|>"), max_size=40)
@@ -25,6 +25,15 @@ def test_encoder_equals_tokenizer(name, text):
     assert np.frombuffer(found.encode(text), "<u4").tolist() == want
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_plain_word_is_kept_once(name):
+    """A word alone is its own piece; with marks after it, the word's ids are taken from there."""
+    made = PieceEncoder(tokenizer_path(name))
+    made.encode("start overly overly, overly.")
+    kept = [key for c in vars(made).values() if isinstance(c, Recent) for key in c]
+    assert [key.strip() for key in kept].count("overly") == 1
+
+
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 60_000), max_size=700), st.data())
 @settings(max_examples=120, deadline=None)
 def test_codes_give_random_access(ids, data):

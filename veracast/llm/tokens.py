@@ -14,15 +14,20 @@ import re
 import numpy as np
 
 #: Pieces, and words, kept by a worker process, each of at most so many characters.
-CACHE_LIMIT, CACHE_CHARS = 400_000, 48
+CACHE_LIMIT, CACHE_CHARS = 600_000, 48
 
 _SPACED = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: White space other than blank and line feed: such texts are encoded as they are.
 OTHER_SPACE = re.compile(
     "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0 ᠎ -​    　﻿\x00]"
 )
-#: At most one blank, a word of Latin-1 letters, then ASCII punctuation.
-_PLAIN = re.compile(r"([ \n]?)([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+#: ASCII punctuation, that may follow a plain word.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def plain(word: str) -> bool:
+    """Latin-1 letters and nothing else: a single unit of both models."""
+    return word.isalpha() and (word.isascii() or max(word) <= "\xff")
 
 
 class Recent(dict):
@@ -72,9 +77,11 @@ class PieceEncoder:
             self.kind = "words"
         elif before.get("type") == "ByteLevel" and before["use_regex"] and not made["normalizer"]:
             self.kind = "spaced"
-        self.words, self.cache = Recent(self._word, CACHE_LIMIT), Recent(self.piece, CACHE_LIMIT)
-        #: Pieces after a blank, by their text without it.
-        self.after_blank = Recent(lambda word: self.piece(" " + word), CACHE_LIMIT)
+        #: Each id as it is written.
+        self.written = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        #: Pieces, and pieces after a blank by their text without it. Plain words are pieces, too.
+        self.cache = Recent(self.piece, CACHE_LIMIT)
+        self.after_blank = Recent(self._after_blank, CACHE_LIMIT)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -86,19 +93,33 @@ class PieceEncoder:
             word = word.encode().decode("latin-1").translate(self.letters)
         elif word[0] == " ":
             word = self.letters[32] + word[1:]
-        return b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(word))
+        written = self.written
+        return b"".join([written[t.id] for t in self.model.tokenize(word)])
 
     def piece(self, piece: str) -> bytes:
-        found = _PLAIN.fullmatch(piece)
-        if not found:
-            return self._whole(piece)
-        blank, word, marks = found.groups()
-        if self.kind == "words":
-            return self.words[word.lower()] + (self.cache[marks] if marks else b"")
-        if blank == " ":
-            return self.words[" " + word] + (self.cache[marks] if marks else b"")
-        head = self.cache[blank] if blank else b""
-        return head + self.words[word] + (self.cache[marks] if marks else b"")
+        """Of a plain word and marks after it, each is looked up or encoded by itself."""
+        word = piece.rstrip(_MARKS)
+        if plain(word):
+            if len(word) < len(piece):
+                return self.cache[word] + self.cache[piece[len(word) :]]
+            if self.kind != "words":
+                return self._word(word)
+            folded = word.lower()
+            return self._word(word) if folded == word else self.cache[folded]
+        if self.kind != "words" and plain(word[1:]):
+            if word[0] == " ":
+                return self.after_blank[piece[1:]]
+            if word[0] == "\n":
+                return self.cache["\n"] + self.cache[piece[1:]]
+        return self._whole(piece)
+
+    def _after_blank(self, piece: str) -> bytes:
+        word = piece.rstrip(_MARKS)
+        if not plain(word):
+            return self._whole(" " + piece)
+        if len(word) < len(piece):
+            return self.after_blank[word] + self.cache[piece[len(word) :]]
+        return self._word(" " + word)
 
     def encode(self, text: str) -> bytes:
         if self.kind == "words":
